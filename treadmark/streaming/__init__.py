@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The work this package covers is batch only.  Late events are handled by
+recomputing a rolling window of days (``treadmark.sources.tables.replace_window``).
+"""
