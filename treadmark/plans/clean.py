@@ -77,18 +77,23 @@ def wide_results(results: DataFrame) -> DataFrame:
     Rows with FormatError in any field are dropped, and of each (Vehicle, Size)
     the first by ``position`` is kept.  ``repeats`` counts the blanked cells.
     """
+    # The bad rows go first: a filter after the columns were laid out would be
+    # pushed through them and repeat their expressions for every column.
     cells = lists.padded(lists.words(F.col("SKUs")), len(SKUS_24), "")
     rows = results.withColumn("_cells", cells).withColumn(
         "_name", repaired_vehicle_size(F.col("Vehicle"), F.col("Size"))
     )
-    wide = rows.select(
-        "position", "_name.Vehicle", "_name.Size", *HOTBOXES,
-        *lists.as_columns(lists.blank_repeats(F.col("_cells")), SKUS_24),
+    every = F.concat(F.array("_name.Vehicle", "_name.Size", *HOTBOXES), F.col("_cells"))
+    bad = F.exists(every, lambda c: F.coalesce(F.contains(c, F.lit(parsing.FORMAT_ERROR)), F.lit(False)))
+    first = best_one(
+        rows.where(~bad).select("position", "_name.Vehicle", "_name.Size", *HOTBOXES, "_cells"),
+        ["Vehicle", "Size"], [F.asc("position")],
+    )
+    unique = first.withColumn("_unique", lists.blank_repeats(F.col("_cells")))
+    return unique.select(
+        "position", "Vehicle", "Size", *HOTBOXES, *lists.as_columns(F.col("_unique"), SKUS_24),
         lists.repeat_count(F.col("_cells")).alias("repeats"),
     )
-    every = F.array("Vehicle", "Size", *HOTBOXES, *SKUS_24)
-    good = wide.where(~F.exists(every, lambda c: F.coalesce(F.contains(c, F.lit(parsing.FORMAT_ERROR)), F.lit(False))))
-    return best_one(good, ["Vehicle", "Size"], [F.asc("position")])
 
 
 def result_rows(wide: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Reports over the wide slot table: token fact, analysis and override rows."""
+"""Reports over the wide slot table: token fact, analysis and override rows.
+
+Each report needs its slot rows twice, for the rows themselves and for the
+distinct counts, so they are written to the shared folder once.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from treadmark.functions.text import (
 )
 from treadmark.operators.counts import join_on, with_distinct_count
 from treadmark.operators.reshape import pivot_max, unpivot
+from treadmark.session import durable
 
 # The reports use the first 20 positions: four hotboxes and SKU1-SKU16.
 TOKENS = (*HOTBOXES, *(f"SKU{i}" for i in range(1, 17)))
@@ -80,7 +85,7 @@ def token_fact(inputs: Inputs, run_date: dt.date, strict_compat: bool = False) -
     ``strict_compat`` compares the manual list with a key whose capitals were
     dropped before upper-casing, as earlier reports did; it hardly ever matches.
     """
-    rows = enriched(inputs)
+    rows = durable(enriched(inputs), "tokens")
     hot = F.col("token_position").between(1, 4)
     match = fit_key("capitals" if strict_compat else "alnum")
     out = rows.withColumn("CAM", fit_key("spaces")).withColumn("_match", match)
@@ -100,9 +105,8 @@ def token_fact(inputs: Inputs, run_date: dt.date, strict_compat: bool = False) -
 
 def analysis(inputs: Inputs, run_date: dt.date) -> DataFrame:
     """One row per fit with the product label of every slot."""
-    rows = enriched(inputs).withColumn(
-        "sku_label", product_label(F.col("Manufacturer"), F.col("Model_Name"), F.col("product_id"))
-    )
+    label = product_label(F.col("Manufacturer"), F.col("Model_Name"), F.col("product_id"))
+    rows = durable(enriched(inputs).withColumn("sku_label", label), "tokens")
     wide = rows.groupBy(*FIT, "Segment", "Category").agg(*pivot_max("token_position", "sku_label", PIVOT_NAMES))
     wide = wide.withColumn("Today", F.lit(run_date)).withColumn("CAM", fit_key("alnum"))
     wide = with_source(wide, inputs.manual, "spaces")
@@ -114,7 +118,8 @@ def analysis(inputs: Inputs, run_date: dt.date) -> DataFrame:
 
 def override_rows(inputs: Inputs, run_date: dt.date) -> DataFrame:
     """One row per fit and source row with product ids, ribbons and constants."""
-    rows = enriched(inputs, drop_zero=True).withColumn("TakeoverName", takeover_slug(*[F.col(c) for c in FIT]))
+    slug = takeover_slug(*[F.col(c) for c in FIT])
+    rows = durable(enriched(inputs, drop_zero=True).withColumn("TakeoverName", slug), "tokens")
     keys = [*FIT, "TakeoverName", "Segment", "Category", "Size", "Vehicle"]
     wide = rows.groupBy(*keys).agg(
         *pivot_max("token_position", "product_id", PIVOT_NAMES),

@@ -8,14 +8,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark import schemas
 from treadmark.functions import lists, text
+from treadmark.operators.compare import row_drift
+from treadmark.operators.position import page
 from treadmark.plans import attribution, audit, cam_merge, candidates, clean, market, recommend, score, score_output, size_file, slots
 from treadmark.session import durable, scratch_path
 from treadmark.sources import files, tables, testdata as td
+from treadmark.sources.events import base_events
 
 RUN_DATE = td.RUN_DATE
 WINDOW = attribution.Window.ending_before(RUN_DATE, dt.date(2024, 1, 15), dt.date(2024, 1, 18))
 
 
+def _results(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(td.run_results(spark, folder), "results")
+
+
+def _raw(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(td.raw_outputs(spark, folder), "raw")
+
+
+def _scored(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(scored_table(spark, folder), "scored")
+
+
+def _requests(spark: SparkSession, folder: str) -> DataFrame:
+    return durable(td.requests(spark, folder), "requests")
+
+
 def size_parts(spark: SparkSession, folder: str) -> DataFrame:
     size = F.col("Size")
     return td.products(spark, folder).select("Size").distinct().select(
@@ -129,8 +148,6 @@ def cam_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, folder: str) -> DataFrame:
-    from treadmark.sources.events import base_events
-
     return durable(base_events(td.events(spark, folder), WINDOW.scan, WINDOW.end), "base-events")
 
 
@@ -168,13 +185,13 @@ def rolling_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top100_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    top = candidates.top_candidates(durable(scored_table(spark, folder), "scored"), ["size_key"])
+    top = candidates.top_candidates(_scored(spark, folder), ["size_key"])
     return top.select("size_key", "rank", "ProductId", "Vehicle", "TyreScore", "Units", "OFFER")
 
 
 def bulk_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of the requested sizes with its rank in the size."""
-    scored = durable(scored_table(spark, folder), "scored")
+    scored = _scored(spark, folder)
     rows = candidates.fetch_many(td.requests(spark, folder), scored).drop("size_key", "vehicle_key")
     top = candidates.top_candidates(rows, ["size_key"], None)
     return top.select("size_key", "rank", "ProductId", "Vehicle", "TyreScore", "Units", "OFFER")
@@ -182,9 +199,9 @@ def bulk_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 def tiered_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """The first source lacks the 165 sizes, so those come from the second one."""
-    scored = durable(scored_table(spark, folder), "scored")
+    scored = _scored(spark, folder)
     main = scored.where(~F.col("SIZE").startswith("165"))
-    asked = durable(td.requests(spark, folder), "requests")
+    asked = _requests(spark, folder)
     found = candidates.tiered(asked, [main, scored])
     return found.groupBy("size_key", "vehicle_key", F.col("_tier").cast("bigint").alias("tier")).agg(
         F.count("*").alias("n"), F.count_distinct("ProductId").alias("products"),
@@ -193,7 +210,7 @@ def tiered_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_block(spark: SparkSession, folder: str) -> DataFrame:
-    scored = durable(scored_table(spark, folder), "scored")
+    scored = _scored(spark, folder)
     block = F.col("block")
     return candidates.text_blocks(scored, ["size_key"]).select(
         "size_key", F.length(block).cast("bigint").alias("chars"), text.token_estimate(block).alias("tokens"), F.md5(block).alias("digest")
@@ -201,18 +218,18 @@ def text_block(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hotbox_slots(spark: SparkSession, folder: str) -> DataFrame:
-    scored = durable(scored_table(spark, folder), "scored")
-    return recommend.recommend(durable(td.requests(spark, folder), "requests"), scored)
+    scored = _scored(spark, folder)
+    return recommend.recommend(_requests(spark, folder), scored)
 
 
 def hotbox_slots_promoted(spark: SparkSession, folder: str) -> DataFrame:
-    scored = durable(scored_table(spark, folder), "scored")
-    return recommend.recommend(durable(td.requests(spark, folder), "requests"), scored, recommend.Rules(brand="Michelin"))
+    scored = _scored(spark, folder)
+    return recommend.recommend(_requests(spark, folder), scored, recommend.Rules(brand="Michelin"))
 
 
 def hotbox_violations(spark: SparkSession, folder: str) -> DataFrame:
     """Rule breaks over all answers, which must all be zero."""
-    scored, asked = durable(scored_table(spark, folder), "scored"), durable(td.requests(spark, folder), "requests")
+    scored, asked = _scored(spark, folder), _requests(spark, folder)
     rules = recommend.Rules(season="Winter")
     answers = durable(recommend.recommend(asked, scored, rules), "answers")
     return recommend.violations(answers, asked, scored, rules)
@@ -220,41 +237,41 @@ def hotbox_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 def best_of_pool(spark: SparkSession, folder: str) -> DataFrame:
     """The first rule step alone: the three most relevant pool A products of every fit."""
-    scored = durable(scored_table(spark, folder), "scored")
+    scored = _scored(spark, folder)
     lists_ = recommend.short_lists(recommend.features(scored, recommend.Rules()), candidates.NARROW)
     picked = F.expr("transform(filter(pool, x -> x.a), x -> x.id)")
     return lists_.select(*candidates.NARROW, *[F.get(picked, F.lit(i)).alias(f"HB{i + 1}") for i in range(3)])
 
 
 def parse_output(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = clean.parse_outputs(td.raw_outputs(spark, folder))
+    parsed = clean.parse_outputs(_raw(spark, folder))
     return parsed.select("Vehicle", "Size", "tier", "parsed_vehicle", "parsed_size", F.array_join("ids", " ").alias("ids"))
 
 
 def backfill(spark: SparkSession, folder: str) -> DataFrame:
-    raw = durable(td.raw_outputs(spark, folder), "raw")
-    ids = candidates.scoped_ids(raw, durable(scored_table(spark, folder), "scored"))
+    raw = _raw(spark, folder)
+    ids = candidates.scoped_ids(raw, _scored(spark, folder))
     return clean.backfill(candidates.keyed_requests(clean.parse_outputs(raw)), ids, candidates.NARROW)
 
 
 def repair_size(spark: SparkSession, folder: str) -> DataFrame:
     name = text.repaired_vehicle_size(F.col("Vehicle"), F.col("Size"))
-    rows = td.run_results(spark, folder).withColumn("name", name)
+    rows = _results(spark, folder).withColumn("name", name)
     return rows.select("position", F.col("name.Vehicle").alias("Vehicle"), F.col("name.Size").alias("Size"))
 
 
 def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.wide_results(td.run_results(spark, folder))
+    return clean.wide_results(_results(spark, folder))
 
 
 def make_model(spark: SparkSession, folder: str) -> DataFrame:
     makes = files.distinct_makes(td.sales(spark, folder))
-    return clean.cam_rows(durable(clean.wide_results(td.run_results(spark, folder)), "results"), makes)
+    return clean.cam_rows(durable(clean.wide_results(_results(spark, folder)), "wide-results"), makes)
 
 
 def reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """First pass against a retry whose outcome follows another pattern."""
-    first = td.run_results(spark, folder).select("position", "Vehicle", "HB1", F.col("success") & (F.col("position") % 3 != 0))
+    first = _results(spark, folder).select("position", "Vehicle", "HB1", F.col("success") & (F.col("position") % 3 != 0))
     first = first.toDF("position", "Vehicle", "HB1", "success")
     retry = first.where(~F.col("success")).select(
         "position", "Vehicle", F.concat(F.lit("r"), "HB1").alias("HB1"), (F.col("position") % 2 == 0).alias("success")
@@ -283,11 +300,11 @@ def richness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.quality(td.bench_runs(spark, folder), durable(scored_table(spark, folder), "scored"))
+    return audit.quality(td.bench_runs(spark, folder), _scored(spark, folder))
 
 
 def unmatched_skus(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.unmatched_skus(durable(scored_table(spark, folder), "scored"), td.bench_runs(spark, folder))
+    return audit.unmatched_skus(_scored(spark, folder), td.bench_runs(spark, folder))
 
 
 def cost(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,7 +318,7 @@ def job_cost(spark: SparkSession, folder: str) -> DataFrame:
 
 def list_diff(spark: SparkSession, folder: str) -> DataFrame:
     ids = lists.words(F.col("SKUs"))
-    return audit.list_diff(td.run_results(spark, folder), F.array_distinct(F.reverse(F.slice(ids, 3, 12))), F.slice(ids, 1, 10), ["position"])
+    return audit.list_diff(_results(spark, folder), F.array_distinct(F.reverse(F.slice(ids, 3, 12))), F.slice(ids, 1, 10), ["position"])
 
 
 def slot_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,8 +336,6 @@ def vehicle_list(spark: SparkSession, folder: str) -> DataFrame:
 def fit_page(spark: SparkSession, folder: str) -> DataFrame:
     """Second page of the fits of one pod, in list order."""
     fits = audit.fit_map(files.segment_list(td.segment_list(spark, folder)))
-    from treadmark.operators.position import page
-
     return page(audit.filtered_fits(fits, pod="pod1"), [F.asc("position")], 20, 20)
 
 
@@ -347,8 +362,6 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 def golden_diff(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that differ between a reference table and a changed one, leaving out a volatile column."""
-    from treadmark.operators.compare import row_drift
-
     golden = td.runlist(spark, folder).toDF("position", "Vehicle", "Size", "PriorityRank")
     current = golden.withColumn("Vehicle", F.when(F.col("position") % 50 == 7, "other").otherwise(F.col("Vehicle"))).withColumn(
         "PriorityRank", F.lit("x")
