@@ -21,8 +21,9 @@ BLOCK_HEADERS = (
     "PriceGBP", "IsOffer", "PriceFluct", "Orders", "Units", "Goldilocks", "PremShare", "MidShare", "BudShare", "RFShare",
     "Status", "Views", "ClickRate",
 )
-# An answer has 24 slots: 24 of them may be taken and 24 more filled.
-FILL_DEPTH = 48
+# An answer has 24 slots.  With h holes, 24 - h ids are taken, so the h next ones
+# are among the first 24 candidates.
+FILL_DEPTH = 24
 
 
 def keyed(scored: DataFrame) -> DataFrame:

@@ -71,6 +71,15 @@ def failure_code(message: Column) -> Column:
     )
 
 
+def flattened(pages: DataFrame) -> DataFrame:
+    """Pages of answers (page number and an array of records) as one row per record, in order."""
+    rows = pages.select("page", "Segment", F.posexplode("items").alias("at", "item"))
+    return rows.select(
+        F.struct("page", "at").alias("position"), "Segment", *[f"item.{c}" for c in ("Vehicle", "Size", *HOTBOXES)],
+        F.array_join("item.SKUs", " ").alias("SKUs"), F.coalesce("item.success", F.lit(False)).alias("success"),
+    )
+
+
 def wide_results(results: DataFrame) -> DataFrame:
     """Answer records to 24 product columns, names repaired, repeats blanked.
 

@@ -16,6 +16,7 @@ from treadmark.functions.lists import HOTBOXES, SKUS, as_columns, is_valid_id, p
 from treadmark.functions.numbers import clamped, exact_avg
 from treadmark.functions.scoring import NO_SALES
 from treadmark.operators.topk import best_n
+from treadmark.session import durable
 from treadmark.plans.candidates import NARROW, WIDE, keyed, keyed_requests
 
 # Brands allowed in hotboxes 1-3, and those also allowed in hotbox 4.
@@ -31,9 +32,9 @@ RUNFLAT_STEPS = ((20.0, 1), (55.0, 2), (85.0, 3))
 DEFAULT_SHARES = {"Premium": 50.0, "MidRange": 25.0, "Budget": 25.0}
 SHARES = {"Premium": "PremiumShare", "MidRange": "MidRangeShare", "Budget": "BudgetShare"}
 HOT, MORE = 4, 20
-# Each answer uses at most 24 products, so of any kind of product at most the
-# first 24 that are not among 24 others can be needed.
-DEPTH = 2 * (HOT + MORE)
+# An answer uses at most 24 products.  When j of them are chosen, the next one of
+# any kind is among the first j + 1 of that kind, so 24 of each kind are enough.
+DEPTH = HOT + MORE
 POPULAR = 5
 
 
@@ -111,24 +112,32 @@ def _rank_key() -> Column:
     return F.struct("tier", (-F.col("points")).alias("p"), (-F.col("units")).alias("u"), "id")
 
 
-def short_lists(rows: DataFrame, keys: list[str]) -> DataFrame:
+TRAITS = ("grade", "a", "b", "runflat", "match", "brand")
+
+
+def best_rows(rows: DataFrame) -> DataFrame:
+    """The most relevant row of every product in every fit, as ``r``."""
+    best = F.min(F.struct(_rank_key().alias("k"), *TRAITS, "units", "tier")).alias("r")
+    return rows.groupBy(*NARROW, "id").agg(best)
+
+
+def short_lists(best: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: ``pool`` (products by relevance) and ``popular`` (products by units).
 
-    One row per product first (its most relevant one).  The pool holds the best
-    DEPTH products of every combination of traits the rules filter on; every
-    filtered list the rules take from it therefore starts as it would over all
-    products of the key.
+    ``best`` comes from ``best_rows``; for a wider key its rows are reduced
+    further.  The pool holds the best DEPTH products of every combination of
+    traits the rules filter on; every filtered list the rules take from it
+    therefore starts as it would over all products of the key.
     """
-    traits = ["grade", "a", "b", "runflat", "match", "brand"]
-    best = rows.groupBy(*keys, "id").agg(
-        F.min(F.struct(_rank_key().alias("k"), *[c for c in traits], "units", "tier")).alias("r")
-    ).select(*keys, "id", "r.k", *[f"r.{c}" for c in (*traits, "units", "tier")])
+    if keys != NARROW:
+        best = best.groupBy(*keys, "id").agg(F.min("r").alias("r"))
+    flat = best.select(*keys, "id", "r.k", *[f"r.{c}" for c in (*TRAITS, "units", "tier")])
     cell = ["grade", "a", "b", "runflat", "match"]
-    pool = best_n(best, [*keys, *cell], [F.asc("k")], DEPTH, "n")
-    popular = best_n(best, [*keys, "runflat", "a"], [F.desc("units"), F.asc("tier"), F.asc("id")], HOT + POPULAR, "n")
+    pool = best_n(flat, [*keys, *cell], [F.asc("k")], DEPTH, "n")
+    popular = best_n(flat, [*keys, "runflat", "a"], [F.desc("units"), F.asc("tier"), F.asc("id")], HOT + POPULAR, "n")
 
     def listed(df: DataFrame, order: Column, name: str) -> DataFrame:
-        item = F.struct(order.alias("o"), F.struct("id", *traits).alias("x"))
+        item = F.struct(order.alias("o"), F.struct("id", *TRAITS).alias("x"))
         items = F.sort_array(F.collect_list(item))
         return df.groupBy(*keys).agg(F.transform(items, lambda i: i["x"]).alias(name))
 
@@ -181,10 +190,18 @@ def scopes(requests: DataFrame, scored: DataFrame, rules: Rules) -> DataFrame:
     A fit with rows of its own uses them first and the other products of its
     size after them; a fit without uses the size's.
     """
-    rows = features(scored, rules)
-    own = short_lists(rows, NARROW).withColumnsRenamed({"pool": "own_pool", "popular": "own_popular"})
-    size = short_lists(rows, WIDE).withColumnsRenamed({"pool": "size_pool", "popular": "size_popular"})
-    wanted = keyed_requests(requests).groupBy(*NARROW).agg(F.min("Segment").alias("Segment"))
+    wanted = durable(keyed_requests(requests).groupBy(*NARROW).agg(F.min("Segment").alias("Segment")), "wanted")
+    # The steps cost time per row and little data, so the requests are spread
+    # over all cores; sizing tasks by bytes would put them in a few.
+    tasks = max(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted.sparkSession.sparkContext.defaultParallelism)
+    wanted = wanted.repartition(tasks, *NARROW)
+    # The scored table is read once; its narrow rows and then the best row per
+    # product are what the lists and shares start from.
+    rows = durable(features(scored, rules), "features")
+    best = durable(best_rows(rows.join(wanted.select(*WIDE).distinct(), WIDE, "left_semi")), "best-rows")
+    asked = best.join(wanted.select(*NARROW), NARROW, "left_semi")
+    own = short_lists(asked, NARROW).withColumnsRenamed({"pool": "own_pool", "popular": "own_popular"})
+    size = short_lists(best, WIDE).withColumnsRenamed({"pool": "size_pool", "popular": "size_popular"})
     df = (
         wanted.join(own, NARROW, "left")
         .join(size, WIDE, "left")

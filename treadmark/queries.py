@@ -238,7 +238,8 @@ def hotbox_violations(spark: SparkSession, folder: str) -> DataFrame:
 def best_of_pool(spark: SparkSession, folder: str) -> DataFrame:
     """The first rule step alone: the three most relevant pool A products of every fit."""
     scored = _scored(spark, folder)
-    lists_ = recommend.short_lists(recommend.features(scored, recommend.Rules()), candidates.NARROW)
+    best = durable(recommend.best_rows(recommend.features(scored, recommend.Rules())), "best-rows")
+    lists_ = recommend.short_lists(best, candidates.NARROW)
     picked = F.expr("transform(filter(pool, x -> x.a), x -> x.id)")
     return lists_.select(*candidates.NARROW, *[F.get(picked, F.lit(i)).alias(f"HB{i + 1}") for i in range(3)])
 

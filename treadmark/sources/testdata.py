@@ -374,12 +374,11 @@ def bench_runs(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     customers = _vehicles_of_customers(spark, folder)
     o = F.col("o_orderkey")
-    variant = F.floor(o / 8) % 4
-
-    def token(i: int) -> Column:
-        number = ID_BASE + (variant * 11 + i * 3 + F.col("o_custkey") % 5) % 60
-        return F.when((variant + i) % 9 == 4, "-").otherwise(number.cast("string"))
-
+    variant = "(o_orderkey div 8 % 4)"
+    tokens = F.expr(
+        f"array_join(transform(sequence(1, 20), i -> CASE WHEN ({variant} + i) % 9 = 4 THEN '-' "
+        f"ELSE string({ID_BASE} + ({variant} * 11 + i * 3 + o_custkey % 5) % 60) END), ' ')"
+    )
     vehicle = F.concat_ws(" ", "make", "model")
     size = F.concat((155 + 10 * (o % 3)).cast("string"), F.lit("/55 R16"))
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -398,7 +397,7 @@ def bench_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("double").alias("Cost_USD"),
         F.when(F.col("o_orderstatus") == "P", "FormatError").alias("Error_Type"),
         F.concat_ws(
-            " ", F.regexp_replace(vehicle, " ", "_"), F.regexp_replace(size, "[/ ]", ""), *[token(i) for i in range(1, 21)]
+            " ", F.regexp_replace(vehicle, " ", "_"), F.regexp_replace(size, "[/ ]", ""), tokens
         ).alias("Generated_SKUs"),
         F.lit(None).cast("string").alias("Raw_Output"),
     )
@@ -425,19 +424,21 @@ def run_results(spark: SparkSession, folder: str) -> DataFrame:
     def form(field: int) -> Column:
         return F.get(F.array(*[f[field] for f in forms]), (o % len(forms)).cast("int"))
 
-    def sku(i: int) -> Column:
-        number = ID_BASE + (o * 7 + i * (o % 3 + 1)) % 40
-        return F.when((o + i) % 17 == 0, "-").when((o + i) % 23 == 0, "1234567").when(
-            (o + i) % 29 == 0, F.concat((ID_BASE // 100 + o % 9).cast("string"), F.lit(".0"))
-        ).otherwise(number.cast("string"))
+    def sku(i: str) -> str:
+        number = f"{ID_BASE} + (o_orderkey * 7 + {i} * (o_orderkey % 3 + 1)) % 40"
+        return (
+            f"CASE WHEN (o_orderkey + {i}) % 17 = 0 THEN '-' WHEN (o_orderkey + {i}) % 23 = 0 THEN '1234567' "
+            f"WHEN (o_orderkey + {i}) % 29 = 0 THEN concat({ID_BASE // 100} + o_orderkey % 9, '.0') ELSE string({number}) END"
+        )
 
-    skus = F.concat_ws(" ", *[sku(i) for i in range(1, 23)])
-    box = F.when(o % 31 == 0, "FormatError").otherwise(sku(30))
+    skus = F.expr(f"array_join(transform(sequence(1, 22), i -> {sku('i')}), ' ')")
+    boxes = [F.expr(sku(str(i))) for i in range(30, 34)]
     return base.select(
         o.alias("position"),
         form(0).alias("Vehicle"),
         form(1).alias("Size"),
-        box.alias("HB1"), sku(31).alias("HB2"), sku(32).alias("HB3"), sku(33).alias("HB4"),
+        F.when(o % 31 == 0, "FormatError").otherwise(boxes[0]).alias("HB1"),
+        *[box.alias(name) for box, name in zip(boxes[1:], HOTBOXES[1:])],
         skus.alias("SKUs"),
         (o % 31 != 0).alias("success"),
     )
