@@ -557,4 +557,13 @@ def oracle() -> dict[str, str]:
     out["recent_log"] = query(
         "SELECT run_id, line, textPayload FROM log WHERE textPayload <> '' AND ts > TIMESTAMP '2024-01-05' ORDER BY ts DESC, line DESC LIMIT 50", "log"
     )
+    days = {
+        "token_fact": ("snapshot_date",), "analysis_wide": ("Today",), "dashboard_wide": ("Today",),
+        "size_file": ("Start_date", "Review_date"), "best_placement": ("snapshot_date",), "merch_report": ("Date",),
+        "rolling_replace": ("Date",),
+    }
+    for name, columns in days.items():
+        shown = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" for c in columns)
+        out[name] = f"SELECT * REPLACE ({shown}) FROM ({out[name]})"
+    out["cam_merge"] = f"SELECT * REPLACE (strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified) FROM ({out['cam_merge']})"
     return out

@@ -79,3 +79,50 @@ def test_staging_blanks(spark):
 def test_log_lines(spark, tmp_path):
     (tmp_path / "l.json").write_text('{"run_id":"r","timestamp":"2024-01-01T00:00:00","textPayload":"Starting Stage 3"}\n{"run_id":"r"}\n')
     assert [r.textPayload for r in files.read_log(spark, str(tmp_path)).collect()] == ["Starting Stage 3"]
+
+
+def test_pages_to_rows(spark):
+    from treadmark.plans import clean
+
+    item = ("VW", "205/55R16", "1", "2", "3", "4", ["10000001", "10000001", "-"], True)
+    schema = (
+        "page int, Segment string, items array<struct<Vehicle: string, Size: string, HB1: string, HB2: string, HB3: string, "
+        "HB4: string, SKUs: array<string>, success: boolean>>"
+    )
+    pages = spark.createDataFrame([(2, "S", [item]), (1, "S", [item, ("VW", "205/55 R16", *"5678", None, None)])], schema)
+    rows = clean.flattened(pages)
+    assert rows.count() == 3 and rows.where("success").count() == 2
+    kept = clean.wide_results(rows).collect()
+    assert [(r.Size, r.HB1, r.SKU1, r.SKU2, r.SKU3, r.SKU24, r.repeats) for r in kept] == [
+        ("205/55 R16", "1", "10000001", "-", "-", "", 1)
+    ]
+
+
+def test_contract_and_failure_codes(spark):
+    from treadmark.plans import clean
+
+    df = spark.createDataFrame([(["x"] * 20, True), (["x"] * 16, True), (["x"] * 20, None)], "SKUs array<string>, success boolean")
+    assert audit.contract(df).count() == 2
+    errors = spark.createDataFrame([("Timeout 504",), ("api quota",), ("boom",)], "e string")
+    assert [r[0] for r in errors.select(clean.failure_code(F.col("e"))).collect()] == ["TIMEOUT", "UPSTREAM_ERROR", "INTERNAL_ERROR"]
+
+
+def test_cost_report_sink_and_filters(spark, tmp_path):
+    runs = spark.createDataFrame([("m", True, 1_000_000, 500_000, 1_500_000)], "Model string, Success boolean, Input_Tokens long, Output_Tokens long, Total_Tokens long")
+    tables.export_json(audit.job_cost(runs, "r1", "GLOBAL"), str(tmp_path / "cost"))
+    row = spark.read.json(str(tmp_path / "cost")).first()
+    assert row.estimated_cost_gbp == 0.21752 and row.cams_succeeded == 1
+    fits = spark.createDataFrame([("POD1", "City"), ("POD2", "City")], "Pod string, Segment string")
+    assert audit.filtered_fits(fits, "pod1", "CITY").count() == 1 and audit.filtered_fits(fits).count() == 2
+    assert audit.allowed_segments(fits, ["Sport"]).count() == 0 and audit.allowed_segments(fits, []).count() == 2
+
+
+def test_single_lookup_matches_inside_the_size(spark):
+    from treadmark.plans import candidates
+
+    rows = [("2.BETTER", 5, 1, "VW Golf", "205/55 R16"), ("1.BEST", 1, 2, "VW Golf", "205/55 R16 91V"), ("1.BEST", 9, 3, "Audi", "205/55 ZR16")]
+    df = spark.createDataFrame(rows, "TyreScore string, Units long, ProductId long, Vehicle string, SIZE string").selectExpr(
+        "*", "string(null) OFFER", "1.0D PRICE", "'' Segment", "0L PRODUCTLISTVIEWS"
+    )
+    assert [r.ProductId for r in candidates.single_lookup(df, "205/55 R16").collect()] == [2, 1]
+    assert [r.ProductId for r in candidates.single_lookup(df, "205/55", "vw-golf", 1).collect()] == [2]

@@ -379,7 +379,17 @@ def recent_log(spark: SparkSession, folder: str) -> DataFrame:
     return audit.recent_entries(files.log_lines(td.log_entries(spark, folder)), since).select("run_id", "line", "textPayload")
 
 
-QUERIES = {
+def as_text(df: DataFrame) -> DataFrame:
+    """Dates and times as text, so that any reader shows the same value."""
+    shown = {
+        name: F.date_format(name, "yyyy-MM-dd" if kind == "date" else "yyyy-MM-dd HH:mm:ss")
+        for name, kind in df.dtypes
+        if kind == "date" or kind.startswith("timestamp")
+    }
+    return df.withColumns(shown) if shown else df
+
+
+_JOBS = {
     "size_parts": size_parts, "vehicle_keys": vehicle_keys, "cam_keys": cam_keys, "tyre_score": tyre_score,
     "price_zone": price_zone, "grade_share_pivot": grade_share_pivot, "runflat_share": runflat_share,
     "clickstream": clickstream, "score_output": scored_table, "token_fact": token_fact,
@@ -397,3 +407,14 @@ QUERIES = {
     "runlist_batches": runlist_batches, "runlist_head": runlist_head, "distinct_makes": distinct_makes,
     "csv_round_trip": csv_round_trip, "golden_diff": golden_diff, "latest_stage": latest_stage, "recent_log": recent_log,
 }
+
+
+def _shown(job):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return as_text(job(spark, folder))
+
+    run.__name__, run.__doc__ = job.__name__, job.__doc__
+    return run
+
+
+QUERIES = {name: _shown(job) for name, job in _JOBS.items()}
