@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def _apart(df: DataFrame, prefix: str, keys: dict) -> Column:
+    """0 for rows with all keys, else one of 256 numbers."""
+    known = [F.col(f"{prefix}{k}") for k in keys]
+    missing = F.exists(F.array(*[k.isNull() for k in known]), lambda x: x)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(256)) + 1
+    return F.when(missing, spread).otherwise(F.lit(0).cast("bigint"))
+
+
 def merge_newer(
     target: DataFrame,
     staged: DataFrame,
@@ -26,12 +34,13 @@ def merge_newer(
     """
     t = target.select(*[target[c].alias(f"t_{c}") for c in target.columns], *[e[0].alias(f"tk_{k}") for k, e in keys.items()])
     s = staged.select(*[staged[c].alias(f"s_{c}") for c in staged.columns], *[e[1].alias(f"sk_{k}") for k, e in keys.items()])
-    t = t.withColumn("t_row", F.lit(True))
-    s = s.withColumn("s_row", F.lit(True))
-    on = None
+    # Rows with a NULL key match nothing; a number that differs between the sides
+    # keeps them from meeting in one task of the outer join.
+    t = t.withColumn("t_row", F.lit(True)).withColumn("t_apart", _apart(t, "tk_", keys))
+    s = s.withColumn("s_row", F.lit(True)).withColumn("s_apart", -_apart(s, "sk_", keys))
+    on = F.col("t_apart") == F.col("s_apart")
     for k in keys:
-        test = F.col(f"tk_{k}") == F.col(f"sk_{k}")
-        on = test if on is None else on & test
+        on = on & (F.col(f"tk_{k}") == F.col(f"sk_{k}"))
     both = t.join(s, on, "full_outer")
     is_new = F.col("t_row").isNull()
     is_update = F.coalesce(F.col("t_row") & F.col("s_row") & (F.col(f"s_{stamp}") >= F.col(f"t_{stamp}")), F.lit(False))

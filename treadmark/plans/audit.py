@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from treadmark.functions import lists
-from treadmark.functions.numbers import exact_avg, round_away, safe_ratio
+from treadmark.functions.numbers import round_away, safe_ratio
 from treadmark.functions.lists import HOTBOXES, SKUS, SLOTS
+from treadmark.operators.counts import join_on
 from treadmark.operators.position import page, with_position
 from treadmark.operators.topk import best_n, best_one, running_rank
 
@@ -64,18 +65,18 @@ def unmatched_skus(scored: DataFrame, runs: DataFrame) -> DataFrame:
 
 def quality(runs: DataFrame, scored: DataFrame) -> DataFrame:
     """Mean number and percentage of best-tier products per setting, over successful runs."""
+    # Counted per setting and product before the join, so a product answered in
+    # a third of all runs is one row per setting.
     grades = sku_metadata(scored, runs).select("sku", F.col("TyreScore").alias("grade"))
-    good = successful(runs).select("Run_ID", *CONFIG, lists.digit_tokens(F.col("Generated_SKUs")).alias("skus"))
-    exploded = good.select("Run_ID", *CONFIG, F.explode_outer("skus").alias("sku"))
-    graded = exploded.join(grades, "sku", "left").withColumn("grade", F.coalesce("grade", F.lit("Unknown")))
-    per_run = graded.groupBy("Run_ID", *CONFIG).agg(
-        F.count_if(F.contains(F.upper("grade"), F.lit("BEST"))).alias("best")
+    graded = _sku_counts(runs, CONFIG).join(grades, "sku", "left").withColumn("grade", F.coalesce("grade", F.lit("Unknown")))
+    best = graded.groupBy(*CONFIG).agg(
+        F.sum(F.when(F.contains(F.upper("grade"), F.lit("BEST")), F.col("n")).otherwise(0)).alias("best")
     )
-    mean = exact_avg(F.col("best"))
-    return per_run.groupBy(*CONFIG).agg(
-        round_away(mean, 4).alias("best_count"),
-        round_away(mean / F.lit(float(TARGET_SLOTS)) * 100.0, 4).alias("best_pct"),
-        F.count("*").alias("runs"),
+    totals = successful(runs).groupBy(*CONFIG).agg(F.count("*").alias("runs"))
+    mean = F.coalesce(F.col("best"), F.lit(0)).cast("double") / F.col("runs").cast("double")
+    return join_on(totals, best, CONFIG, match_null=True).select(
+        *CONFIG, round_away(mean, 4).alias("best_count"),
+        round_away(mean / F.lit(float(TARGET_SLOTS)) * 100.0, 4).alias("best_pct"), "runs",
     )
 
 

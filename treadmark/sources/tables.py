@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark import schemas
-from treadmark.session import scratch_path  # noqa: F401  (re-exported)
+from treadmark.session import durable
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -54,7 +54,7 @@ def replace_window(df: DataFrame, path: str, date_column: str, start: dt.date, e
     removed.  The window is a few weeks of days, so the list of days is short.
     """
     spark = df.sparkSession
-    rows = df.where(F.col(date_column).between(F.lit(start), F.lit(end)))
+    rows = durable(df.where(F.col(date_column).between(F.lit(start), F.lit(end))), "window")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
     written = {r[0] for r in rows.select(date_column).distinct().collect()}
     fs, to_path = _file_system(spark, path)
