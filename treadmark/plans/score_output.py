@@ -10,6 +10,7 @@ from treadmark.functions import scoring
 from treadmark.functions.numbers import round_away
 from treadmark.functions.text import click_vehicle, list_id_size, size_part, spread_null
 from treadmark.plans import market, score
+from treadmark.session import durable
 from treadmark.sources.events import days, items_of
 from treadmark.sources.files import typed_sales
 
@@ -65,7 +66,8 @@ def build(inputs: Inputs) -> DataFrame:
     offers = score.scored(inputs.products, inputs.catalogue).where(
         F.col("ProductId").isNotNull() & F.col("WET_GRIP").isNotNull()
     )
-    totals = market.fit_totals(market.sold(sales, inputs.products, inputs.catalogue))
+    # The fit sums feed the fit columns and the size average.
+    totals = durable(market.fit_totals(market.sold(sales, inputs.products, inputs.catalogue)), "fit-totals")
     clicks = clickstream(inputs.events).select("SKU", F.col("Vehicle").alias("click_vehicle"), "PRODUCTLISTVIEWS")
     fits = market.market(totals).select(
         F.col("Vehicle").alias("fit_vehicle"), F.col("SizePart").alias("fit_size"), "fit_price", "PremiumShare",

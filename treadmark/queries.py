@@ -95,16 +95,17 @@ def clickstream(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_table(spark: SparkSession, folder: str) -> DataFrame:
     events = score_output.click_window(td.events(spark, folder), RUN_DATE)
+    sold = durable(td.sales(spark, folder), "sales")
     return score_output.build(
-        score_output.Inputs(
-            td.products(spark, folder), td.catalogue(spark, folder), td.sales(spark, folder), events, td.influence(spark, folder)
-        )
+        score_output.Inputs(td.products(spark, folder), td.catalogue(spark, folder), sold, events, td.influence(spark, folder))
     )
 
 
 def _slot_inputs(spark: SparkSession, folder: str) -> slots.Inputs:
+    sold = durable(td.sales(spark, folder), "sales")
     return slots.Inputs(
-        td.wide_slots(spark, folder), td.vehicle_mapping(spark, folder), td.report_catalogue(spark, folder), td.manual_keys(spark, folder)
+        td.wide_slots(spark, folder, sold), td.vehicle_mapping(spark, folder), td.report_catalogue(spark, folder),
+        td.manual_keys(spark, folder, sold),
     )
 
 

@@ -196,9 +196,12 @@ def influence(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def best_sellers(spark: SparkSession, folder: str, n: int = 24) -> DataFrame:
-    """The ``n`` best selling products of every (vehicle, size), ranked."""
-    sold = sales(spark, folder).select(
+def best_sellers(spark: SparkSession, folder: str, n: int = 24, sold: DataFrame | None = None) -> DataFrame:
+    """The ``n`` best selling products of every (vehicle, size), ranked.
+
+    ``sold`` is the sales table when the caller already has it.
+    """
+    sold = (sold or sales(spark, folder)).select(
         "ProductId", F.concat_ws(" ", "CarMake", "CarModel").alias("Vehicle"), F.col("Units").cast("bigint").alias("Units")
     )
     part = table(spark, folder, "part").select(
@@ -209,7 +212,7 @@ def best_sellers(spark: SparkSession, folder: str, n: int = 24) -> DataFrame:
     )
 
 
-def wide_slots(spark: SparkSession, folder: str) -> DataFrame:
+def wide_slots(spark: SparkSession, folder: str, sold: DataFrame | None = None) -> DataFrame:
     """One row per (vehicle, size): HB1-HB4, SKU1-SKU20; '-' where there is no product.
 
     Some rows have HB1 = '0', some a word where an id should be.
@@ -217,7 +220,7 @@ def wide_slots(spark: SparkSession, folder: str) -> DataFrame:
     slots = [
         F.max(F.when(F.col("slot") == i, F.col("ProductId"))).alias(c) for i, c in enumerate((*HOTBOXES, *SKUS), 1)
     ]
-    wide = best_sellers(spark, folder).groupBy("Vehicle", "Size").agg(*slots)
+    wide = best_sellers(spark, folder, sold=sold).groupBy("Vehicle", "Size").agg(*slots)
     digits = F.length(F.col("Vehicle")) + F.length(F.col("Size"))
     filled = wide.select(
         "Vehicle", "Size", *[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in (*HOTBOXES, *SKUS)]
@@ -227,9 +230,9 @@ def wide_slots(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def manual_keys(spark: SparkSession, folder: str) -> DataFrame:
+def manual_keys(spark: SparkSession, folder: str, sold: DataFrame | None = None) -> DataFrame:
     """Hand-kept keys, written in two ways: with blanks, or with punctuation."""
-    seen = best_sellers(spark, folder, 1).select("Vehicle", "Size")
+    seen = best_sellers(spark, folder, 1, sold).select("Vehicle", "Size")
     make = F.regexp_replace(F.split("Vehicle", " ")[0], "_", "")
     model = F.split("Vehicle", " ")[1]
     width, profile, rim = (F.regexp_extract("Size", r"^(\d+)/(\d+) Z?R(\d+)", i) for i in (1, 2, 3))
