@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from treadmark.llm import mix, quality_rules
+from treadmark.llm import mix, quality_net, quality_rules, secret_scan, sentence_pieces, token_counts, url_filter
 
 QUERIES = {
     "op1_pareto_mix": mix.op1_pareto_mix,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_token_counts": token_counts.op3_token_counts,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
+    "op9_quality_net": quality_net.op9_quality_net,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL = {
     "op1_pareto_mix": mix.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
