@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -51,3 +54,20 @@ def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches, one batch's Python objects at a time."""
     for batch in batches:
         yield from zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Spark the package's own source once for each context, so that executors can import what its tasks call."""
+    sc = spark.sparkContext
+    if getattr(sc, "_treadmark_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="treadmark-source-"), "treadmark_source.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        out.writestr("treadmark/__init__.py", "")
+        for folder in (here, os.path.dirname(here)):
+            for name in sorted(os.listdir(folder)):
+                if name.endswith(".py") and (folder == here or name != "__init__.py"):
+                    out.write(os.path.join(folder, name), os.path.join("treadmark", os.path.relpath(os.path.join(folder, name), os.path.dirname(here))))
+    sc.addPyFile(path)
+    sc._treadmark_shipped = True

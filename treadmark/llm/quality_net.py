@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treadmark.llm.common import fold, only, table
+from treadmark.llm.common import fold, only, ship, table
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
 #: Bytes of half a chunk.
@@ -104,6 +104,18 @@ def untrained(prior: float = 0.5) -> Net:
     return Net(np.zeros((WIDTH, 256, FILTERS), np.float32), np.zeros(FILTERS, np.float32), np.zeros(2 * FILTERS), float(odds))
 
 
+def _window(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A short stretch of a document as an example of its own: short texts are rare, and their maxima are low."""
+    row = chunks[rng.integers(len(chunks))]
+    full = max(1, int(np.count_nonzero(row)))
+    n = int(rng.integers(20, 250))
+    at = int(rng.integers(0, max(1, full - n)))
+    out = np.zeros((1, len(row)), np.uint8)
+    piece = row[at : min(at + n, full)]
+    out[0, : len(piece)] = piece
+    return out
+
+
 def fit(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
     """A network fitted by Adam on the chunks (rows of 2 * BLOCK bytes) of each document; the classes
     weigh GOOD_WEIGHT to one, however many rows each has."""
@@ -111,6 +123,7 @@ def fit(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
     if not len(labels) or good in (0.0, 1.0):
         return untrained(min(max(good, 0.05), 0.95))
     rng = np.random.default_rng(seed)
+    chunks, labels = [*chunks, *(_window(c, rng) for c in chunks)], np.concatenate((labels, labels))
     net = untrained(0.5)
     net.taps += rng.normal(0, 0.3, net.taps.shape).astype(np.float32)
     net.taps[:, 0] = 0
@@ -165,6 +178,7 @@ def _cut(text: bytes) -> bytes:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Net:
     """A network from a bounded sample of the labelled documents outside the held-out fold."""
+    ship(docs.sparkSession)
     known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     of = lambda q: known.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
@@ -188,6 +202,7 @@ def quality_scores(docs: DataFrame, net: Net, text: str = "text") -> DataFrame:
     Only the text's bytes make the score.  A null text counts as empty, and an empty one has the score of a chunk
     without bytes.  Repeated rows and null ids are scored each; an empty table gives no rows.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a fixed number of weights
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from treadmark.llm.common import fresh, only, table
+from treadmark.llm.common import fresh, only, ship, table
 from treadmark.llm.pieces import BYTE, MODEL, NORMAL, SPACE, Pieces, read_pieces
 
 #: Stretches whose pieces a worker remembers; the memory is emptied when full.
@@ -128,6 +128,7 @@ def encoded(docs: DataFrame, path: str = MODEL, text: str = "text") -> DataFrame
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_pieces(path))  # bounded: the vocabulary of one file
 
+    ship(docs.sparkSession)
     key = fresh(path)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,6 +155,7 @@ def decoded(coded: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id and text from the ids of ``encoded``; null ids give a null text."""
     shared = coded.sparkSession.sparkContext.broadcast(read_pieces(path))
 
+    ship(coded.sparkSession)
     key = fresh(path)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

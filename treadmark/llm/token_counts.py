@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from treadmark.llm.common import SPACES, fresh, only, table
+from treadmark.llm.common import SPACES, fresh, only, ship, table
 from treadmark.llm.pieces import MODEL, NORMAL, SPACE, read_pieces
 
 #: Words whose count a worker remembers; the memory is emptied when full.
@@ -110,6 +110,7 @@ def token_counts(docs: DataFrame, path: str = MODEL, text: str = "text") -> Data
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary(path))  # bounded: the vocabulary of one file
+    ship(docs.sparkSession)
     key, table_ = fresh(path), bytes.maketrans(SPACES, b" " * len(SPACES))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
