@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treadmark.llm import mix, quality_net, quality_rules, secret_scan, sentence_pieces, token_counts, url_filter
+from treadmark.llm import jaccard_join, metric_search, mix, quality_net, quality_rules, secret_scan, sentence_pieces, token_counts, url_filter
 
 QUERIES = {
     "op1_pareto_mix": mix.op1_pareto_mix,
@@ -10,11 +10,14 @@ QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
+    "op6_jaccard_join": jaccard_join.op6_jaccard_join,
+    "op8_metric_search": metric_search.op8_metric_search,
     "op9_quality_net": quality_net.op9_quality_net,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL = {
     "op1_pareto_mix": mix.ORACLE,
+    "op8_metric_search": metric_search.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }
