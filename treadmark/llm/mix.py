@@ -145,6 +145,19 @@ def pareto_mix(
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; documents that it leaves out go."""
+    taken = pareto_mix(docs, weights, cap, seed, text).filter("copies > 0")
+    often = taken.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies")).withColumnsRenamed(
+        {"doc_id": "_id", "source": "_source", "size": "_of"}
+    )
+    size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_of"))
+    found = docs.withColumn("_size", size).join(often, same)
+    again = found.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return again.select(docs.columns)
+
+
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return pareto_mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

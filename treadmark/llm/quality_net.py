@@ -220,6 +220,23 @@ def quality_scores(docs: DataFrame, net: Net, text: str = "text") -> DataFrame:
     return out.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+def kept(docs: DataFrame, net: Net, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the network does not reject, with all their columns; one pass, no shuffle."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    place = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
+            for i in range(0, len(texts), 64):
+                good = own.scores(texts[i : i + 64]) >= THRESHOLD
+                yield batch.slice(i, 64).filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op9_quality_net(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_scores(docs, train(docs, table(spark, folder, "labels")))

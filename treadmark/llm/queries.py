@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from treadmark.llm import jaccard_join, metric_search, mix, quality_net, quality_rules, secret_scan, sentence_pieces, token_counts, url_filter
+from treadmark.llm import (
+    jaccard_join, metric_search, mix, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, token_counts, url_filter,
+)
 
 QUERIES = {
     "op1_pareto_mix": mix.op1_pareto_mix,
@@ -11,6 +13,7 @@ QUERIES = {
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_sentence_pieces": sentence_pieces.op5_sentence_pieces,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
+    "op7_seating_lm": seating_lm.op7_seating_lm,
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_quality_net": quality_net.op9_quality_net,
     "op10_url_filter": url_filter.op10_url_filter,

@@ -133,8 +133,8 @@ def secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule
     ledger = ledger or Ledger(versions.sparkSession)
     ledger.scan(versions, rules, text)
     found = ledger.by_blob(rules).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
-    key = F.sha2(text_of(text).cast("binary"), 256)
-    rows = versions.drop("spans").join(found, key == F.col("_blob"), "left").drop("_blob")
+    keyed = versions.drop("spans").withColumn("_key", F.sha2(text_of(text).cast("binary"), 256))
+    rows = keyed.join(found, F.col("_key") == F.col("_blob"), "left").drop("_blob", "_key")
     none = F.array().cast(dict(found.dtypes)["_spans"])
     return rows.withColumn("spans", F.coalesce("_spans", none)).drop("_spans")
 
