@@ -28,9 +28,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked."""
-    found = secret_scan.secrets(docs)
-    hit = F.size("spans") > 0
-    text = F.when(hit, secret_scan.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    found = secret_scan.secrets(docs, to="_secrets")
+    hit = F.size("_secrets") > 0
+    text = F.when(hit, secret_scan.masked(F.col("text"), F.col("_secrets"))).otherwise(F.col("text"))
     out = found.withColumn("text", text).withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 

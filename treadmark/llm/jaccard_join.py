@@ -272,13 +272,14 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; of rows that repeat a doc_id, one.
+    """The rows of ``docs`` whose doc_id is the smallest of its component; of rows that repeat a doc_id, the one with the
+    smallest text.
 
     Rows without doc_id stay: nothing tells which of them is meant.
     """
     found = jaccard_join(docs, width, percent, text)
     first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    order = W.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    order = W.partitionBy("doc_id").orderBy(F.col(text).asc_nulls_last())
     named = docs.filter("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
     named = named.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
     return named.select(docs.columns).union(docs.filter("doc_id IS NULL"))

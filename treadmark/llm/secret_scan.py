@@ -123,20 +123,20 @@ class Ledger:
         return own.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct("start", "place", "kind", "end"))).alias("spans"))
 
 
-def secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``versions`` with ``spans``, the secrets of their texts: (start, place, kind, end), sorted.
+def secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text", to: str = "spans") -> DataFrame:
+    """The rows of ``versions`` with column ``to``, the secrets of their texts: (start, place, kind, end), sorted.
 
     The texts are scanned into ``ledger`` (a new one if there is none) and the findings of a blob are joined back to all
     rows that hold it.  A null text is an empty one; it has no spans.  Repeated rows share their blob and get the
-    same spans each; an empty table gives no rows.  A column named ``spans`` of the input is replaced.
+    same spans each; an empty table gives no rows.  A column of the input with the name ``to`` is replaced.
     """
     ledger = ledger or Ledger(versions.sparkSession)
     ledger.scan(versions, rules, text)
     found = ledger.by_blob(rules).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
-    keyed = versions.drop("spans").withColumn("_key", F.sha2(text_of(text).cast("binary"), 256))
+    keyed = versions.drop(to).withColumn("_key", F.sha2(text_of(text).cast("binary"), 256))
     rows = keyed.join(found, F.col("_key") == F.col("_blob"), "left").drop("_blob", "_key")
     none = F.array().cast(dict(found.dtypes)["_spans"])
-    return rows.withColumn("spans", F.coalesce("_spans", none)).drop("_spans")
+    return rows.withColumn(to, F.coalesce("_spans", none)).drop("_spans")
 
 
 def joined(spans: Column) -> Column:
