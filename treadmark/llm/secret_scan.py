@@ -98,11 +98,9 @@ class Ledger:
         rows = only(versions, text).select(F.sha2(text_of(text).cast("binary"), 256).alias("blob"), body.alias("text"))
         pairs = self.spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, version int")
         seen = self.scanned().join(F.broadcast(pairs), ["kind", "version"]).groupBy("blob").agg(F.collect_set("kind").alias("done"))
-        unseen = (
-            rows.join(seen, "blob", "left")
-            .filter(F.coalesce(F.size("done"), F.lit(0)) < len(rules))
-            .groupBy("blob").agg(F.first("text").alias("text"), F.first("done").alias("done"))
-        )
+        # Copies are combined before they move, and the ledger meets the blobs where they then are: texts move once.
+        ones = rows.groupBy("blob").agg(F.first("text").alias("text"))
+        unseen = ones.join(seen, "blob", "left").filter(F.coalesce(F.size("done"), F.lit(0)) < len(rules))
         blobs = scratch_path(self.spark, "unseen")
         unseen.write.parquet(blobs)
         stored = self.spark.read.schema(unseen.schema).parquet(blobs)
