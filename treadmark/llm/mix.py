@@ -50,9 +50,8 @@ def _expected(strata: DataFrame, cap: int) -> DataFrame:
     up = W.partitionBy("source").orderBy(F.desc("appetite"))
     above = up.rowsBetween(W.unboundedPreceding, -1)
     rest = up.rowsBetween(W.currentRow, W.unboundedFollowing)
-    rate = (F.col("target") - cap * F.coalesce(F.sum("words").over(above), F.lit(0))) / F.sum(
-        F.col("words") * F.col("appetite")
-    ).over(rest).cast("double")
+    weighted = F.sum(F.col("words") * F.col("appetite")).over(rest).cast("double")
+    rate = F.try_divide(F.col("target") - cap * F.coalesce(F.sum("words").over(above), F.lit(0)), weighted)  # null without words
     fits = F.when(F.col("rate") * F.col("appetite") <= cap, F.struct(F.col("appetite"), F.col("rate")))
     found = strata.withColumn("rate", rate).withColumn("rate", F.max(fits).over(W.partitionBy("source"))["rate"])
     copies = F.least(F.lit(float(cap)), F.coalesce(F.col("rate"), F.lit(float(cap))) * F.col("appetite"))
