@@ -429,11 +429,9 @@ def oracle() -> dict[str, str]:
     tiers = [("size_key NOT LIKE '165%'", True), ("size_key NOT LIKE '165%'", False), ("true", True), ("true", False)]
     parts = []
     for i, (where, narrow) in enumerate(tiers):
-        keys = "size_key, vehicle_key" if narrow else "size_key"
         on = "k.size_key = r.size_key" + (" AND k.vehicle_key = r.vehicle_key" if narrow else "")
         parts.append(
-            f"SELECT r.size_key, r.vehicle_key, {i} AS tier, ProductId, TyreScore, Units FROM req r JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} "
-            f"ORDER BY {CANDIDATE_ORDER}) AS rn FROM keyed WHERE {where}) WHERE rn <= 100) k ON {on}"
+            f"SELECT r.size_key, r.vehicle_key, {i} AS tier, ProductId, TyreScore, Units FROM req r JOIN (SELECT * FROM keyed WHERE {where}) k ON {on}"
         )
     out["tiered_candidates"] = over_output(
         """SELECT size_key, vehicle_key, tier, count(*) AS n, count(DISTINCT ProductId) AS products, min(TyreScore) AS best, CAST(sum(Units) AS BIGINT) AS units
@@ -443,10 +441,19 @@ def oracle() -> dict[str, str]:
         hits=" UNION ALL ".join(parts),
     )
     cells = ", ".join(f"replace(coalesce(CAST({c} AS VARCHAR), 'None'), '|', '/')" for c in COLUMNS)
+    head = "|".join(BLOCK_HEADERS)
+    numbered = f"SELECT size_key, vehicle_key, row_number() OVER (PARTITION BY size_key ORDER BY {CANDIDATE_ORDER}) AS line_no, concat_ws('|', {cells}) AS line FROM keyed"
     out["text_block"] = over_output(
-        "SELECT size_key, length(block) AS chars, length(block) // 4 AS tokens, md5(block) AS digest FROM blocks",
-        blocks=f"""SELECT size_key, '{"|".join(BLOCK_HEADERS)}' || chr(10) || string_agg(line, chr(10) ORDER BY rn) AS block FROM (
-          SELECT size_key, row_number() OVER (PARTITION BY size_key ORDER BY {CANDIDATE_ORDER}) AS rn, concat_ws('|', {cells}) AS line FROM keyed) WHERE rn <= 100 GROUP BY 1""",
+        f"SELECT DISTINCT size_key, 0 AS line_no, '{head}' AS line FROM keyed UNION ALL SELECT size_key, line_no, line FROM ({numbered})"
+    )
+    out["request_blocks"] = over_output(
+        f"""SELECT size_key, vehicle_key, tier, n + 1 AS lines, chars + n + {len(head)} AS chars, (chars + n + {len(head)}) // 4 AS tokens FROM (
+          SELECT r.size_key, r.vehicle_key, CASE WHEN own > 0 THEN 0 ELSE 1 END AS tier, CASE WHEN own > 0 THEN own ELSE n END AS n,
+            CAST(CASE WHEN own > 0 THEN own_chars ELSE chars END AS BIGINT) AS chars FROM (
+            SELECT r.size_key, r.vehicle_key, count(*) AS n, sum(length(line)) AS chars, count(*) FILTER (k.vehicle_key = r.vehicle_key) AS own,
+              sum(length(line)) FILTER (k.vehicle_key = r.vehicle_key) AS own_chars
+            FROM (SELECT DISTINCT {size_key('Size')} AS size_key, {vehicle_key('Vehicle')} AS vehicle_key FROM asked) r JOIN ({numbered}) k USING (size_key) GROUP BY 1, 2) r)""",
+        "asked",
     )
     zeros = ", ".join(
         f"0 AS {c}" for c in ("other_size", "not_in_set_a", "not_in_set_b", "budget_too_high", "too_many_budget", "repeated")
@@ -515,7 +522,9 @@ def oracle() -> dict[str, str]:
           array_to_string(moved, ' ') AS out_of_order, len(moved) = 0 AS is_sorted, len(ref) AS count_ref, len(got) AS count_res
         FROM (SELECT *, list_filter(common, lambda x, i: i > 1 AND list_position(ref, x) < list_position(ref, common[i - 1])) AS moved
           FROM (SELECT *, list_filter(got, lambda x: list_contains(ref, x)) AS common
-            FROM (SELECT position, cells[:10] AS got, list_filter(back, lambda x, i: list_position(back, x) = i) AS ref FROM (SELECT *, list_reverse(cells[3:14]) AS back FROM answers))))""",
+            FROM (SELECT position, cells AS got, list_filter(back, lambda x, i: list_position(back, x) = i) AS ref
+              FROM (SELECT *, list_transform(list_reverse(cells), lambda x, i: CASE WHEN i = 5 THEN '99999999' ELSE x END) AS back
+                FROM (SELECT position, list_filter(cells, lambda x: trim(x) <> '') AS cells FROM answers)))))""",
         "answers",
     )
     slot_list = "[" + ", ".join(SLOT_COLUMNS) + "]"

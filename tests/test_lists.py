@@ -54,65 +54,67 @@ def test_order_check_counts_repeats_at_their_last_place(spark):
     assert missing == [[], [], ["a"], []]
 
 
-def norm(s):
-    return re.sub(r"[^a-z0-9]", "", (s or "").lower())
-
-
-def plain_strict(text, vehicle, size):
-    for line in (text or "").strip().splitlines():
-        t = line.split()
-        for v in range(1, len(t) - 4):
-            for s in (1, 2, 3):
-                if v + s > len(t) or norm(" ".join(t[:v])) != norm(vehicle) or norm(" ".join(t[v:v + s])) != norm(size):
-                    continue
-                ids = (t[v + s:] + ["-"] * 24)[:24]
-                if len(t) >= 6 and all(x.isdigit() or x == "-" for x in ids):
-                    return " ".join(t[:v + s] + ids)
-    return None
-
-
-def plain_loose(text, vehicle, size):
-    if not text or norm(vehicle) not in norm(text) or norm(size) not in norm(text):
-        return None
-    ids = []
-    for t in re.sub(r"[^a-zA-Z0-9\s-]", " ", text).split():
-        if VALID.match(t) or (t == "-" and ids):
-            ids.append(t)
-    if len(ids) < 4:
-        return None
-    name = vehicle.strip().upper().replace(" ", "_")
-    return " ".join([name, size.strip().upper().replace("/", "").replace(" ", ""), *(ids + ["-"] * 24)[:24]])
-
-
-def plain_lenient(text):
-    if not text:
-        return "ERROR_VEHICLE", "ERROR_SIZE", ["Error"] * 24
-    t = text.split()
-    for v in range(1, len(t) - 4):
-        for s in (1, 2, 3):
-            box = t[v + s:v + s + 4]
-            if len(box) == 4 and all(VALID.match(x) or x == "-" for x in box):
-                return " ".join(t[:v]), "".join(t[v:v + s]), t[v + s:v + s + 24]
-    return "ERROR_VEHICLE", "ERROR_SIZE", ["FormatError"] * 24
-
-
-def test_parsers(spark):
-    rng = random.Random(3)
-    words = ["VW", "GOLF", "205/55", "R16", "20555R16", "-", "10000001", "1000002", "10000003", "12", "x,", "10000004.", "\n", "golf"]
-    texts = [None, "", "  ", "VW GOLF 20555R16 111", "VW - GOLF 205/55 R16 10000001 10000002 - 10000003"]
-    texts += [" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(300)]
-    texts += ["VW GOLF 205/55 R16 " + " ".join(rng.choice(words[5:10]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+DASHES = lambda n: " ".join(["-"] * n)
+FOUR = "10000001 10000002 10000003 1000004"
+MANY = " ".join(str(20000000 + i) for i in range(26))
+# text, strict line, loose line; the request is VW Golf, 205/55 R16
+READINGS = [
+    (f"VW GOLF 205/55R16 {FOUR}", f"VW GOLF 205/55R16 {FOUR} {DASHES(20)}", f"VW_GOLF 20555R16 {FOUR} {DASHES(20)}"),
+    ("vw-golf 205/55 R16 10000001 - 10000002", f"vw-golf 205/55 R16 10000001 - 10000002 {DASHES(21)}", None),
+    ("VW GOLF 20555R16 111", None, None),
+    ("Here it is:\nVW GOLF 205/55 R16 1 2 3 4\nthanks", f"VW GOLF 205/55 R16 1 2 3 4 {DASHES(20)}", None),
+    (f"The VW GOLF 205/55 R16 {FOUR}", None, f"VW_GOLF 20555R16 {FOUR} {DASHES(20)}"),
+    ("VW GOLF 205/55 R16 10000001 abc 10000002", None, None),
+    ("I suggest 10000001, 10000002; 10000003 and 1000004 for the VW Golf (205/55 R16).", None, f"VW_GOLF 20555R16 {FOUR} {DASHES(20)}"),
+    (f"I suggest {FOUR} for the VW Golf.", None, None),
+    (f"VW Golf 205/55 R16 {MANY}", "VW Golf 205/55 R16 " + MANY[: 24 * 9 - 1], "VW_GOLF 20555R16 " + MANY[: 24 * 9 - 1]),
+    ("VW Golf 205/55 R16 - 10000001 - - 10000001", f"VW Golf 205/55 R16 - 10000001 - - 10000001 {DASHES(19)}", f"VW_GOLF 20555R16 10000001 - - 10000001 {DASHES(20)}"),
+    ("", None, None),
+    (None, None, None),
+]
+# text, vehicle, size, ids
+LENIENT = [
+    (f"GOLF 20555R16 {FOUR}", "GOLF", "20555R16", FOUR.split()),
+    (f"GOLF 205/55 R16 {FOUR} - x", "GOLF", "205/55R16", [*FOUR.split(), "-", "x"]),
+    ("GOLF 20555R16 10000001 - 12 10000002", "ERROR_VEHICLE", "ERROR_SIZE", ["FormatError"] * 24),
+    ("GOLF 20555R16 10000001", "ERROR_VEHICLE", "ERROR_SIZE", ["FormatError"] * 24),
+    ("  ", "ERROR_VEHICLE", "ERROR_SIZE", ["FormatError"] * 24),
+    ("", "ERROR_VEHICLE", "ERROR_SIZE", ["Error"] * 24),
+    (None, "ERROR_VEHICLE", "ERROR_SIZE", ["Error"] * 24),
+]
+
+
+def read_lines(spark, texts):
     df = spark.createDataFrame([(t, "VW Golf", "205/55 R16") for t in texts], "t string, v string, s string")
     t, v, s = F.col("t"), F.col("v"), F.col("s")
-    out = df.select(
+    return df.select(
         "t", parsing.strict_line(t, v, s).alias("strict"), parsing.loose_line(t, v, s).alias("loose"),
         parsing.lenient_line(t).alias("plain"),
     ).collect()
-    assert sum(r.strict is not None for r in out) > 20 and sum(r.loose is not None for r in out) > 50
-    for r in out:
-        assert r.strict == plain_strict(r.t, "VW Golf", "205/55 R16"), r.t
-        assert r.loose == plain_loose(r.t, "VW Golf", "205/55 R16"), r.t
-        assert (r.plain.vehicle, r.plain.size, r.plain.ids) == plain_lenient(r.t), r.t
+
+
+def test_written_out_readings(spark):
+    got = [(r.t, r.strict, r.loose) for r in read_lines(spark, [t for t, _, _ in READINGS])]
+    assert got == READINGS
+    got = [(r.t, r.plain.vehicle, r.plain.size, r.plain.ids) for r in read_lines(spark, [x[0] for x in LENIENT])]
+    assert got == LENIENT
+
+
+def test_readings_invent_nothing(spark):
+    rng = random.Random(3)
+    words = ["VW", "GOLF", "205/55", "R16", "20555R16", "-", "10000001", "1000002", "10000003", "12", "x,", "10000004.", "\n", "golf"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    texts += ["VW GOLF 205/55 R16 " + " ".join(rng.choice(words[5:10]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    rows = read_lines(spark, texts)
+    assert sum(r.strict is not None for r in rows) > 20 and sum(r.loose is not None for r in rows) > 50
+    for r in rows:
+        for line in (r.strict, r.loose):
+            if line is None:
+                continue
+            ids = line.split()[-24:]
+            kept = [x for x in ids if x != "-"]
+            rest = iter(re.findall(r"[0-9]+", r.t))
+            assert len(ids) == 24 and all(x in rest for x in kept)  # in the order of the text
 
 
 def test_error_line(spark):

@@ -11,6 +11,7 @@ from treadmark.functions.text import size_key, vehicle_key
 from treadmark.operators.lookup import scoped_requests
 from treadmark.operators.topk import best_n, running_rank
 from treadmark.plans.score_output import COLUMNS
+from treadmark.session import durable
 
 LOOKUP_LIMIT = 100
 NARROW, WIDE = ["size_key", "vehicle_key"], ["size_key"]
@@ -56,27 +57,58 @@ def single_lookup(scored: DataFrame, size: str, vehicle: str | None = None, limi
     return rows.orderBy(*candidate_order()).limit(limit)
 
 
-def tiered(requests: DataFrame, sources: list[DataFrame], limit: int | None = LOOKUP_LIMIT) -> DataFrame:
-    """Candidates of every request from the best source and level that has any.
+def scopes(requests: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """size_key, vehicle_key, tier of every request: the best source and level that has any candidate.
 
-    Candidates are ranked and cut once per size or per (size, vehicle); requests
-    of one size share that list, so no request is matched with rows it drops.
+    Tier 2 * i is source i at the request's size and vehicle, 2 * i + 1 source i at its size.
+    """
+    asked = durable(keyed_requests(requests).select(*NARROW).distinct(), "asked")  # every source and level reads it
+    found = scoped_requests(asked, sources, NARROW, WIDE).where("_source IS NOT NULL")
+    tier = F.col("_source") * 2 + F.when(F.col("_level") == "wide", 1).otherwise(0)
+    return durable(found.select(*NARROW, tier.cast("bigint").alias("tier")), "scopes")
+
+
+def scope_rows(asked: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """All candidates of every scope in ``asked``, each scope once, whatever the number of its requests.
+
+    Rows of a size's scope carry NULL as ``scope_vehicle``.
     """
-    tables = [keyed(s) for s in sources]
-    asked = scoped_requests(keyed_requests(requests).select(*NARROW).distinct(), tables, NARROW, WIDE)
     parts = []
-    for i, source in enumerate(tables):
-        for level, keys in (("narrow", NARROW), ("wide", WIDE)):
-            mine = asked.where((F.col("_source") == i) & (F.col("_level") == level))
-            rows = source.join(mine.select(*keys).distinct(), keys, "left_semi")
-            if limit is not None:
-                rows = best_n(rows, keys, candidate_order(), limit, "rank")
-            own = rows.drop(*[k for k in NARROW if k not in keys])
-            parts.append(mine.join(own, keys).select("*").withColumn("_tier", F.lit(2 * i + (level == "wide"))))
+    for i, source in enumerate(sources):
+        for wide, keys in enumerate((NARROW, WIDE)):
+            tier = 2 * i + wide
+            mine = asked.where(F.col("tier") == tier).select(*keys).distinct()
+            vehicle = F.lit(None).cast("string") if wide else F.col("vehicle_key")
+            rows = source.join(mine, keys, "left_semi")
+            parts.append(rows.withColumn("scope_vehicle", vehicle).withColumn("tier", F.lit(tier).cast("bigint")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.drop("_source", "_level")
+    return out
+
+
+def of_requests(asked: DataFrame, figures: DataFrame) -> DataFrame:
+    """Figures of scopes (size_key, scope_vehicle, tier) at every request of the scope."""
+    vehicle = F.when(F.col("tier") % 2 == 0, F.col("vehicle_key"))
+    a, b = asked.withColumn("scope_vehicle", vehicle), figures
+    on = ["size_key", "tier", "scope_vehicle"]
+    narrow = a.where("scope_vehicle IS NOT NULL").join(b.where("scope_vehicle IS NOT NULL"), on)
+    wide = a.where("scope_vehicle IS NULL").drop("scope_vehicle").join(b.where("scope_vehicle IS NULL").drop("scope_vehicle"), on[:2])
+    return narrow.drop("scope_vehicle").unionByName(wide)
+
+
+def tiered(requests: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """Number and figures of the candidates of every request from the best source and level that has any.
+
+    Candidates are summed up once for each scope; requests then only meet the sums.
+    """
+    tables = [keyed(s) for s in sources]
+    asked = scopes(requests, tables)
+    figures = scope_rows(asked, tables).groupBy("size_key", "scope_vehicle", "tier").agg(
+        F.count("*").alias("n"), F.count_distinct("ProductId").alias("products"),
+        F.min("TyreScore").alias("best"), F.sum("Units").alias("units"),
+    )
+    return of_requests(asked, figures).select(*NARROW, "tier", "n", "products", "best", "units")
 
 
 def fetch_many(requests: DataFrame, scored: DataFrame) -> DataFrame:
@@ -101,7 +133,9 @@ def ranked_ids(scored: DataFrame, keys: list[str], depth: int = FILL_DEPTH) -> D
 
 def scoped_ids(requests: DataFrame, scored: DataFrame) -> DataFrame:
     """Ranked ids for every requested (size, vehicle): the vehicle's own, else the size's."""
-    wanted = keyed_requests(requests).select(*NARROW).distinct()
+    wanted = durable(keyed_requests(requests).select(*NARROW).distinct(), "wanted")
+    rows = keyed(scored).join(wanted.select("size_key").distinct(), "size_key", "left_semi")
+    scored = durable(rows.select("Vehicle", "SIZE", "ProductId", "TyreScore", "Units"), "requested")  # three branches read it
     seen = keyed(scored).select(*NARROW).distinct().withColumn("seen", F.lit(True))
     own = ranked_ids(scored, NARROW).withColumnRenamed("candidate_ids", "own")
     size = ranked_ids(scored, WIDE).withColumnRenamed("candidate_ids", "any")
@@ -122,9 +156,19 @@ def block_lines(ranked: DataFrame, keys: list[str]) -> DataFrame:
     return head.unionByName(ranked.select(*keys, F.col("rank").alias("line_no"), block_line().alias("line")))
 
 
-def text_blocks(scored: DataFrame, keys: list[str], limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """Text block of every key in one value; holds the ``limit`` lookup rows at most."""
-    lines = top_candidates(scored, keys, limit).select(*keys, "rank", block_line().alias("line"))
-    ordered = F.sort_array(F.collect_list(F.struct("rank", "line")))
-    body = F.transform(ordered, lambda x: x["line"])
-    return lines.groupBy(*keys).agg(F.concat_ws("\n", F.lit("|".join(BLOCK_HEADERS)), body).alias("block"))
+def text_block(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """Text block of every key, all candidates, one row for each numbered line; no key's lines meet in one value."""
+    return block_lines(top_candidates(scored, keys, None), keys)
+
+
+def request_blocks(requests: DataFrame, scored: DataFrame) -> DataFrame:
+    """Lines, characters and tokens of every request's text block: its vehicle's candidates, else its size's."""
+    rows = keyed(scored)
+    asked = scopes(requests, [rows])
+    lines = scope_rows(asked, [rows]).select("size_key", "scope_vehicle", "tier", F.length(block_line()).alias("chars"))
+    sums = lines.groupBy("size_key", "scope_vehicle", "tier").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    head = len("|".join(BLOCK_HEADERS))
+    # the header, the candidates, and a line break before each of them
+    sums = sums.withColumn("lines", F.col("n") + 1).withColumn("chars", F.col("chars") + F.col("n") + F.lit(head)).drop("n")
+    out = of_requests(asked, sums)
+    return out.select(*NARROW, "tier", "lines", "chars", F.floor(F.col("chars") / 4).cast("bigint").alias("tokens"))

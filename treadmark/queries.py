@@ -186,13 +186,13 @@ def rolling_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top100_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    top = candidates.top_candidates(_scored(spark, folder), ["size_key"])
+    top = candidates.top_candidates(scored_table(spark, folder), ["size_key"])
     return top.select("size_key", "rank", "ProductId", "Vehicle", "TyreScore", "Units", "OFFER")
 
 
 def bulk_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of the requested sizes with its rank in the size."""
-    scored = _scored(spark, folder)
+    scored = scored_table(spark, folder)
     rows = candidates.fetch_many(td.requests(spark, folder), scored).drop("size_key", "vehicle_key")
     top = candidates.top_candidates(rows, ["size_key"], None)
     return top.select("size_key", "rank", "ProductId", "Vehicle", "TyreScore", "Units", "OFFER")
@@ -202,20 +202,18 @@ def tiered_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """The first source lacks the 165 sizes, so those come from the second one."""
     scored = _scored(spark, folder)
     main = scored.where(~F.col("SIZE").startswith("165"))
-    asked = _requests(spark, folder)
-    found = candidates.tiered(asked, [main, scored])
-    return found.groupBy("size_key", "vehicle_key", F.col("_tier").cast("bigint").alias("tier")).agg(
-        F.count("*").alias("n"), F.count_distinct("ProductId").alias("products"),
-        F.min("TyreScore").alias("best"), F.sum("Units").alias("units"),
-    )
+    asked = td.requests(spark, folder)
+    return candidates.tiered(asked, [main, scored])
 
 
 def text_block(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(spark, folder)
-    block = F.col("block")
-    return candidates.text_blocks(scored, ["size_key"]).select(
-        "size_key", F.length(block).cast("bigint").alias("chars"), text.token_estimate(block).alias("tokens"), F.md5(block).alias("digest")
-    )
+    """Every line of every size's block."""
+    return candidates.text_block(scored_table(spark, folder), ["size_key"]).select("size_key", "line_no", "line")
+
+
+def request_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """How long the block of each request is, with the fall-back from vehicle to size."""
+    return candidates.request_blocks(td.requests(spark, folder), _scored(spark, folder))
 
 
 def hotbox_slots(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,8 +317,10 @@ def job_cost(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def list_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole answer against a changed one: turned round, its fifth product replaced, its repeats left out."""
     ids = lists.words(F.col("SKUs"))
-    return audit.list_diff(_results(spark, folder), F.array_distinct(F.reverse(F.slice(ids, 3, 12))), F.slice(ids, 1, 10), ["position"])
+    changed = F.transform(F.reverse(ids), lambda x, i: F.when(i == 4, F.lit("99999999")).otherwise(x))
+    return audit.list_diff(td.run_results(spark, folder), F.array_distinct(changed), ids, ["position"])
 
 
 def slot_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -398,7 +398,7 @@ _JOBS = {
     "size_file": size_slots, "cam_merge": cam_upsert, "journey": journey, "best_placement": best_placement,
     "asof_purchase": asof_purchase, "merch_report": merch_report, "rolling_replace": rolling_replace,
     "top100_candidates": top100_candidates, "bulk_candidates": bulk_candidates, "tiered_candidates": tiered_candidates,
-    "text_block": text_block, "hotbox_slots": hotbox_slots, "hotbox_slots_promoted": hotbox_slots_promoted,
+    "text_block": text_block, "request_blocks": request_blocks, "hotbox_slots": hotbox_slots, "hotbox_slots_promoted": hotbox_slots_promoted,
     "hotbox_violations": hotbox_violations, "best_of_pool": best_of_pool, "parse_output": parse_output,
     "backfill": backfill, "repair_size": repair_size, "dedup_rows": dedup_rows, "make_model": make_model,
     "reconcile": reconcile, "outcome_counts": outcome_counts, "consistency": consistency, "top_skus": top_skus,
