@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treadmark.sources.testdata import BRANDS, CODES, ID_BASE, SEGMENTS
+from oracle.constants import BRANDS, CODES, ID_BASE, SEGMENTS
 
 
 def texts(values) -> str:

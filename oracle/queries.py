@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
+from oracle.constants import (
+    BLOCK_HEADERS, BRANDS_A, BRANDS_B_ONLY, COLUMNS, DEFAULT_JOURNEY, EXCLUDED_PAGES, INFLUENCE, JOURNEY_RULES, LETTER_POINTS, NO_REGISTRATION,
+    NOISE_POINTS, SIZE_JOURNEY, SLOT_LAYOUT, TIERS,
+)
 from oracle.inputs import SLOT_COLUMNS, query
-from treadmark.functions.journey import DEFAULT_JOURNEY, EXCLUDED_PAGES, JOURNEY_RULES, NO_REGISTRATION, SIZE_JOURNEY
-from treadmark.functions.scoring import LETTER_POINTS, NOISE_POINTS, TIERS
-from treadmark.plans.candidates import BLOCK_HEADERS
-from treadmark.plans.recommend import BRANDS_A, BRANDS_B_ONLY
-from treadmark.plans.score_output import COLUMNS, INFLUENCE
-from treadmark.plans.size_file import slot_layout
 
 RUN_DATE = "DATE '2024-01-31'"
 FIT = "Make, Model, Width, Profile, Rim"
@@ -208,7 +206,7 @@ SIZE_FILE = f"""
       FROM (SELECT {ext("Size", "^([0-9]+)")} AS Width, {ext("Size", "/([0-9]+)\\s")} AS Profile, {ext("Size", "R([0-9]+)$")} AS Rim, product_id, count(*) AS cnt
         FROM ({" UNION ALL ".join(f"SELECT Size, {c} AS product_id FROM wide" for c in TOKENS)})
         WHERE regexp_full_match(product_id, '[0-9]+') AND length(product_id) >= 8 GROUP BY 1, 2, 3, 4))
-    JOIN (VALUES {", ".join(f"({r}, {s}::DOUBLE)" for r, s in slot_layout())}) m(r, slot) ON r = rnk
+    JOIN (VALUES {", ".join(f"({r}, {s}::DOUBLE)" for r, s in SLOT_LAYOUT)}) m(r, slot) ON r = rnk
     JOIN prices ON SKU = product_id AND Brand IS NOT NULL WHERE Width || Profile || Rim IS NOT NULL"""
 
 # ---------------------------------------------------------------- merge
