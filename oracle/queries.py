@@ -405,7 +405,7 @@ def oracle() -> dict[str, str]:
     token_steps = {"e": enriched(), "d": DISTINCT, "listed": LISTED}
     out["token_fact"] = query(token_fact(CAM), *SLOT_READS, **token_steps)
     capitals = f"upper(regexp_replace(trim({JOINED}), '[^a-z0-9]', '', 'g'))"
-    out["token_fact_strict"] = query(f"SELECT CAMSource, count(*) AS n FROM ({token_fact(capitals)}) GROUP BY 1", *SLOT_READS, **token_steps)
+    out["token_fact_strict"] = query(token_fact(capitals), *SLOT_READS, **token_steps)
     out["analysis_wide"] = query(ANALYSIS, *SLOT_READS, e=enriched(), d=DISTINCT, listed=LISTED_SPACES)
     out["dashboard_wide"] = query(DASHBOARD, *SLOT_READS, e=enriched("WHERE HB1 <> '0'"), d=DISTINCT, listed=LISTED)
     out["size_file"] = query(SIZE_FILE, "wide", "prices")
@@ -565,7 +565,7 @@ def oracle() -> dict[str, str]:
         "SELECT run_id, line, textPayload FROM log WHERE textPayload <> '' AND ts > TIMESTAMP '2024-01-05' ORDER BY ts DESC, line DESC LIMIT 50", "log"
     )
     days = {
-        "token_fact": ("snapshot_date",), "analysis_wide": ("Today",), "dashboard_wide": ("Today",),
+        "token_fact": ("snapshot_date",), "token_fact_strict": ("snapshot_date",), "analysis_wide": ("Today",), "dashboard_wide": ("Today",),
         "size_file": ("Start_date", "Review_date"), "best_placement": ("snapshot_date",), "merch_report": ("Date",),
         "rolling_replace": ("Date",),
     }

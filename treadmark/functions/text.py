@@ -203,9 +203,9 @@ def is_named(c: Column) -> Column:
     return ~F.coalesce(F.lower(c).isin("nan", "", "none"), F.lit(False))
 
 
-def spread_null(key: Column, *identity: Column) -> Column:
-    """Join key whose NULLs are spread over 256 values that match nothing.
+def spread_null(key: Column, *identity: Column, parts: int) -> Column:
+    """Join key whose NULLs are spread over ``parts`` values that match nothing.
 
     A left join sends all NULL keys to one task; this keeps them apart.
     """
-    return F.coalesce(key, F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*identity), F.lit(256)).cast("string")))
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*identity), F.lit(parts)).cast("string")))

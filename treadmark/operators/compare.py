@@ -14,12 +14,11 @@ def row_drift(golden: DataFrame, current: DataFrame, ignored: list[str] | None =
     """Rows found on one side only, with the side; ``ignored`` columns do not count."""
     skip = set(ignored or [])
     columns = [c for c in golden.columns if c not in skip and c in current.columns]
-    a, b = golden.select(*columns), current.select(*columns)
-    return (
-        a.exceptAll(b)
-        .withColumn("side", F.lit("golden"))
-        .unionByName(b.exceptAll(a).withColumn("side", F.lit("current")))
-    )
+    signed = golden.select(*columns, F.lit(1).alias("_sign")).unionByName(current.select(*columns, F.lit(-1).alias("_sign")))
+    # One grouping counts both sides; equal rows cancel out and only what is left over is repeated.
+    left = signed.groupBy(*columns).agg(F.sum("_sign").alias("_left")).where("_left <> 0")
+    rows = left.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_left"))))
+    return rows.select(*columns, F.when(F.col("_left") > 0, "golden").otherwise("current").alias("side"))
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from treadmark.session import shuffle_partitions
+
 
 def with_distinct_count(df: DataFrame, keys: list[str], value: str, name: str, match_null: bool) -> DataFrame:
     """``count(distinct value)`` per key on every row of that key.
@@ -17,12 +19,21 @@ def with_distinct_count(df: DataFrame, keys: list[str], value: str, name: str, m
 
 
 def join_on(df: DataFrame, other: DataFrame, keys: list[str], match_null: bool) -> DataFrame:
-    """Left join to a keyed table, with or without matching NULL keys."""
-    a, b = df.alias("a"), other.alias("b")
+    """Left join to a keyed table, with or without matching NULL keys.
+
+    Rows whose NULL key can match nothing are spread over the shuffle's partitions; where NULL is a key like others, the
+    rows of one key can be split between tasks, as ``other`` has one row for it.
+    """
+    a, b = df, other.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *[c for c in other.columns if c not in keys])
     on = None
     for k in keys:
-        left, right = F.col(f"a.{k}"), F.col(f"b.{k}")
-        test = left.eqNullSafe(right) if match_null else left == right
+        test = F.col(k).eqNullSafe(F.col(f"_b_{k}")) if match_null else F.col(k) == F.col(f"_b_{k}")
         on = test if on is None else on & test
-    extra = [F.col(f"b.{c}") for c in other.columns if c not in keys]
-    return a.join(b, on, "left").select("a.*", *extra)
+    if not match_null:
+        missing = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+        spread = F.pmod(F.monotonically_increasing_id(), F.lit(shuffle_partitions(df.sparkSession))) + 1
+        a = a.withColumn("_apart", F.when(missing, spread).otherwise(F.lit(0).cast("bigint")))
+        on = on & (F.col("_apart") == F.col("_together"))
+        b = b.withColumn("_together", F.lit(0).cast("bigint"))
+    extra = [c for c in other.columns if c not in keys]
+    return a.join(b, on, "left").select(*df.columns, *extra)

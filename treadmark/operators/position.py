@@ -51,6 +51,13 @@ def tile_of(position: Column, total: Column, buckets: int) -> Column:
     return F.when(position <= edge, in_wide).otherwise(in_small).cast("bigint")
 
 
+#: A page that ends before this row is cut by each task on its own and merged in one.
+HEAD_ROWS = 10_000
+
+
 def page(df: DataFrame, order: list[Column], offset: int, count: int) -> DataFrame:
-    """Rows [offset, offset + count) of the ordered table."""
-    return df.orderBy(*order).offset(offset).limit(count)
+    """Rows [offset, offset + count) of the ordered table; no task holds more than HEAD_ROWS or its share of them."""
+    if offset + count <= HEAD_ROWS:
+        return df.orderBy(*order).offset(offset).limit(count)
+    placed = with_position(df, order, "_pos")
+    return placed.where(F.col("_pos").between(offset + 1, offset + count)).drop("_pos")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from treadmark.session import shuffle_partitions
+
 
 def _apart(df: DataFrame, prefix: str, keys: dict) -> Column:
-    """0 for rows with all keys, else one of 256 numbers."""
+    """0 for rows with all keys, else one of as many numbers as a shuffle has partitions."""
     known = [F.col(f"{prefix}{k}") for k in keys]
     missing = F.exists(F.array(*[k.isNull() for k in known]), lambda x: x)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(256)) + 1
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(shuffle_partitions(df.sparkSession))) + 1
     return F.when(missing, spread).otherwise(F.lit(0).cast("bigint"))
 
 

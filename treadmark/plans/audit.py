@@ -10,6 +10,7 @@ from treadmark.functions.lists import HOTBOXES, SKUS, SLOTS
 from treadmark.operators.counts import join_on
 from treadmark.operators.position import page, with_position
 from treadmark.operators.topk import best_n, best_one, running_rank
+from treadmark.session import durable
 
 CONFIG = ["Model", "Search_Enabled", "Thinking_Budget"]
 # List prices in USD per million tokens (in, out), and GBP for the job report.
@@ -50,11 +51,11 @@ def sku_universe(runs: DataFrame) -> DataFrame:
     )
 
 
-def sku_metadata(scored: DataFrame, runs: DataFrame) -> DataFrame:
+def sku_metadata(scored: DataFrame, universe: DataFrame) -> DataFrame:
     """One metadata row per answered product: the vehicle row with most units."""
     columns = ["TyreScore", "GRADE", "BRAND", "Model", "PRICE", "SalesStatus", "Units"]
     rows = scored.select(F.col("ProductId").cast("string").alias("sku"), *columns)
-    used = rows.join(sku_universe(runs), "sku", "left_semi")
+    used = rows.join(universe, "sku", "left_semi")
     return best_one(used, ["sku"], [F.desc("Units"), *[F.asc_nulls_first(c) for c in columns if c != "Units"]])
 
 
@@ -67,8 +68,9 @@ def quality(runs: DataFrame, scored: DataFrame) -> DataFrame:
     """Mean number and percentage of best-tier products per setting, over successful runs."""
     # Counted per setting and product before the join, so a product answered in
     # a third of all runs is one row per setting.
-    grades = sku_metadata(scored, runs).select("sku", F.col("TyreScore").alias("grade"))
-    graded = _sku_counts(runs, CONFIG).join(grades, "sku", "left").withColumn("grade", F.coalesce("grade", F.lit("Unknown")))
+    counts = durable(_sku_counts(runs, CONFIG), "sku-counts")  # the runs' products are taken apart once
+    grades = sku_metadata(scored, counts.select("sku").distinct()).select("sku", F.col("TyreScore").alias("grade"))
+    graded = counts.join(grades, "sku", "left").withColumn("grade", F.coalesce("grade", F.lit("Unknown")))
     best = graded.groupBy(*CONFIG).agg(
         F.sum(F.when(F.contains(F.upper("grade"), F.lit("BEST")), F.col("n")).otherwise(0)).alias("best")
     )

@@ -10,7 +10,7 @@ from treadmark.functions import scoring
 from treadmark.functions.numbers import round_away
 from treadmark.functions.text import click_vehicle, list_id_size, size_part, spread_null
 from treadmark.plans import market, score
-from treadmark.session import durable
+from treadmark.session import durable, shuffle_partitions
 from treadmark.sources.events import days, items_of
 from treadmark.sources.files import typed_sales
 
@@ -83,7 +83,7 @@ def build(inputs: Inputs) -> DataFrame:
         offers.withColumn("SKU", F.col("ProductId").cast("string"))
         .join(sold, "SKU", "left")
         .withColumn("part", size_part(F.col("SIZE")))
-        .withColumn("vkey", spread_null(F.col("Vehicle"), F.col("SKU")))
+        .withColumn("vkey", spread_null(F.col("Vehicle"), F.col("SKU"), parts=shuffle_partitions(offers.sparkSession)))
         .withColumn("ikey", F.upper(F.regexp_replace(F.trim(F.col("vkey")), r"\s+", "")))
     )
     joined = (

@@ -73,7 +73,7 @@ def with_source(df: DataFrame, manual: DataFrame, mode: str, key: str = "CAM") -
     """CAMSource: 'manual' for keys on the hand-kept list, else 'AIM'."""
     listed = manual_list(manual, mode).withColumnRenamed("CAM", key)
     return (
-        df.join(listed, key, "left")
+        join_on(df, listed, [key], match_null=False)
         .withColumn("CAMSource", F.when(F.col("_manual"), "manual").otherwise("AIM"))
         .drop("_manual")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark import schemas
@@ -30,7 +32,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a fixed schema.
 
-    ``suffix`` keeps files whose name ends with it, at any depth.  With
+    With ``suffix`` the first file in path order whose name ends with it, at any
+    depth, is read, and none gives no rows: a second upload does not count twice.  With
     ``audit`` malformed lines stay in the result with their text in
     ``_corrupt_record`` instead of failing the load.
     """
@@ -41,6 +44,11 @@ def read_csv(
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True)
+        found = sorted(reader.csv(path).inputFiles())
+        if not found:
+            return spark.createDataFrame([], text)
+        path = unquote(found[0])
+        reader = reader.option("pathGlobFilter", "*").option("recursiveFileLookup", False)
     return reader.csv(path)
 
 

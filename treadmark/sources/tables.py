@@ -52,6 +52,10 @@ def replace_window(df: DataFrame, path: str, date_column: str, start: dt.date, e
 
     Days with new rows are overwritten; days of the window without any are
     removed.  The window is a few weeks of days, so the list of days is short.
+    Each day is replaced as a whole, the days not in one step: who reads
+    meanwhile may see new days beside old ones, and a run that dies is repeated.
+    A table that needs the window in one step must be in a table format with
+    transactions.
     """
     spark = df.sparkSession
     rows = durable(df.where(F.col(date_column).between(F.lit(start), F.lit(end))), "window")
