@@ -564,7 +564,43 @@ def oracle() -> dict[str, str]:
     out["recent_log"] = query(
         "SELECT run_id, line, textPayload FROM log WHERE textPayload <> '' AND ts > TIMESTAMP '2024-01-05' ORDER BY ts DESC, line DESC LIMIT 50", "log"
     )
+    out["snapshot_latest"] = query(
+        f"SELECT * REPLACE (CAST(snapshot_date + INTERVAL 1 DAY AS DATE) AS snapshot_date) FROM ({token_fact(CAM)}) WHERE is_hotbox", *SLOT_READS, **token_steps
+    )
+    out["json_log"] = query(
+        "SELECT run_id, count(*) AS entries, max(textPayload) AS last, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS since FROM log WHERE textPayload <> '' GROUP BY 1", "log"
+    )
+    out["clean_headers"] = query('SELECT vehicle, CarMake AS "Car_Make", Segment AS seg_ment FROM mapping', "mapping")
+    out["report_lines"] = query(
+        f"""SELECT row_number() OVER (ORDER BY Make NULLS FIRST, Model NULLS FIRST, {", ".join(f"CAST({c} AS BIGINT) NULLS FIRST" for c in ("Rim", "Width", "Profile"))},
+          Segment NULLS FIRST, Category NULLS FIRST, SKU NULLS FIRST) AS line_no, Make, Model, Width, Profile, Rim, Segment, Category, SKU FROM ({ANALYSIS})""",
+        *SLOT_READS, e=enriched(), d=DISTINCT, listed=LISTED_SPACES,
+    )
+    out["size_file_lines"] = query(
+        f"SELECT row_number() OVER (ORDER BY slot_number, Size, product_id) AS line_no, slot_number, Size, product_id FROM ({SIZE_FILE})", "wide", "prices"
+    )
+    out["runlist_first"] = query(f"SELECT * FROM ({usable}) ORDER BY position LIMIT 100", "runlist")
+    out["page_records"] = query(
+        """SELECT position // 50 AS page, row_number() OVER (PARTITION BY position // 50 ORDER BY position) - 1 AS at, 'all' AS Segment, Vehicle, Size, HB1, HB4,
+          array_to_string(list_filter(cells, lambda x: trim(x) <> ''), ' ') AS SKUs, success FROM answers""",
+        "answers",
+    )
+    out["contract_breaks"] = query("SELECT position, 20 - position % 2 AS n, success FROM answers WHERE position % 2 = 1 OR NOT success", "answers")
+    out["error_lines"] = query(
+        f"SELECT Vehicle, Size, replace(Vehicle, ' ', '_') || ' ' || replace(replace(Size, '/', '-'), ' ', '_') || ' {' '.join(['NoContent'] * 4 + ['-'] * 20)}' AS line FROM asked",
+        "asked",
+    )
+    out["failure_codes"] = query(
+        f"""SELECT position, batch, batch % 7 <> 3 AS success, CASE WHEN batch % 7 = 3 THEN 'BATCH_FAILED' WHEN position % 3 = 0 THEN 'TIMEOUT' WHEN position % 3 = 1 THEN 'UPSTREAM_ERROR'
+          ELSE 'INTERNAL_ERROR' END AS error_code FROM (SELECT position, (row_number() OVER (ORDER BY position) - 1) // 64 AS batch FROM ({usable}))""",
+        "runlist",
+    )
+    out["segment_rows"] = query("SELECT position, Vehicle, Size, Segment FROM fits WHERE Segment IN ('BUILDING', 'MACHINERY')", "fits")
+    out["size_lookup"] = over_output(
+        f"SELECT size_key, vehicle_key, ProductId, TyreScore, Units, OFFER FROM keyed WHERE contains(size_key, '175/') ORDER BY {CANDIDATE_ORDER} LIMIT 100"
+    )
     days = {
+        "snapshot_latest": ("snapshot_date",),
         "token_fact": ("snapshot_date",), "token_fact_strict": ("snapshot_date",), "analysis_wide": ("Today",), "dashboard_wide": ("Today",),
         "size_file": ("Start_date", "Review_date"), "best_placement": ("snapshot_date",), "merch_report": ("Date",),
         "rolling_replace": ("Date",),

@@ -71,6 +71,11 @@ def failure_code(message: Column) -> Column:
     )
 
 
+def batch_outcomes(batched: DataFrame, failed: Column) -> DataFrame:
+    """Outcome of every request of a run in batches: all requests of a batch that ``failed`` after its retries fail with it."""
+    return batched.withColumn("success", ~failed).withColumn("error_code", F.when(failed, "BATCH_FAILED"))
+
+
 def flattened(pages: DataFrame) -> DataFrame:
     """Pages of answers (page number and an array of records) as one row per record, in order."""
     rows = pages.select("page", "Segment", F.posexplode("items").alias("at", "item"))
@@ -105,10 +110,6 @@ def wide_results(results: DataFrame) -> DataFrame:
     )
 
 
-def result_rows(wide: DataFrame) -> DataFrame:
-    return wide.select("Vehicle", "Size", *HOTBOXES, *SKUS)
-
-
 def make_and_model(names: DataFrame, makes: DataFrame) -> DataFrame:
     """Each distinct Vehicle split into make and model by the longest known make."""
     distinct = names.select("Vehicle").distinct().withColumn("_upper", F.upper("Vehicle"))

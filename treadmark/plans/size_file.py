@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from treadmark.operators.position import with_position
 from treadmark.operators.reshape import unpivot
 from treadmark.operators.topk import best_n
 from treadmark.plans.slots import PIVOT_NAMES
@@ -17,6 +18,11 @@ REPEATS = {9: 1, 13: 2, 17: 3, 21: 4}
 LABEL = "AIM_Size"
 
 
+def file_lines(slots: DataFrame) -> DataFrame:
+    """Line numbers of the size file: by slot, then by size and product."""
+    return with_position(slots, [F.asc("slot_number"), F.asc("Size"), F.asc("product_id")], "line_no")
+
+
 def slot_layout() -> list[tuple[int, str]]:
     """(rank, slot number) for slots 1-60: each slot takes the next rank, except the repeats."""
     layout, rank = [], 0

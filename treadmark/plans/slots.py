@@ -18,6 +18,7 @@ from treadmark.functions.text import (
     alnum_key, cam_key, cam_text, product_label, report_profile, report_rim, report_width, takeover_slug,
 )
 from treadmark.operators.counts import join_on, with_distinct_count
+from treadmark.operators.position import with_position
 from treadmark.operators.reshape import pivot_max, unpivot
 from treadmark.session import durable
 
@@ -140,6 +141,7 @@ def override_rows(inputs: Inputs, run_date: dt.date) -> DataFrame:
     )
 
 
-def report_order(df: DataFrame) -> DataFrame:
-    """Reading order of the reports: make, model, then rim, width, profile as numbers."""
-    return df.orderBy("Make", "Model", *[F.col(c).cast("bigint") for c in ("Rim", "Width", "Profile")])
+def report_lines(df: DataFrame, then: list[str]) -> DataFrame:
+    """Line numbers in the reading order of the reports: make, model, then rim, width, profile as numbers."""
+    numbers = [F.col(c).cast("bigint").asc_nulls_first() for c in ("Rim", "Width", "Profile")]
+    return with_position(df, [F.col("Make").asc_nulls_first(), F.col("Model").asc_nulls_first(), *numbers, *[F.col(c).asc_nulls_first() for c in then]], "line_no")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark import schemas
-from treadmark.functions import lists, text
+from treadmark.functions import lists, parsing, text
 from treadmark.operators.compare import row_drift
 from treadmark.operators.position import page
 from treadmark.plans import attribution, audit, cam_merge, candidates, clean, market, recommend, score, score_output, size_file, slots
@@ -379,6 +379,85 @@ def recent_log(spark: SparkSession, folder: str) -> DataFrame:
     return audit.recent_entries(files.log_lines(td.log_entries(spark, folder)), since).select("run_id", "line", "textPayload")
 
 
+def snapshot_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two snapshots appended to a table by days, the newer one read back."""
+    path = scratch_path(spark, "snapshots")
+    rows = durable(token_fact(spark, folder), "snapshot")
+    tables.replace_table(rows, path, ["snapshot_date"])
+    tables.append_rows(rows.where("is_hotbox").withColumn("snapshot_date", F.date_add("snapshot_date", 1)), path, ["snapshot_date"])
+    return tables.latest_snapshot(spark.read.parquet(path), "snapshot_date").select(rows.columns)
+
+
+def json_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log exported as JSON lines and read back with its schema."""
+    path = scratch_path(spark, "log-json")
+    tables.export_json(td.log_entries(spark, folder), path)
+    return files.read_log(spark, path).groupBy("run_id").agg(F.count("*").alias("entries"), F.max("textPayload").alias("last"), F.min("timestamp").alias("since"))
+
+
+def clean_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """A file whose headers need cleaning, all columns read as text."""
+    path = scratch_path(spark, "headers-csv")
+    mapping = td.vehicle_mapping(spark, folder).select(F.col("vehicle").alias(" vehicle"), F.col("CarMake").alias("Car.Make"), F.col("Segment").alias("seg-ment"))
+    tables.export_csv(mapping, path)
+    return files.read_named_csv(spark, path)
+
+
+def report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    wide = slots.analysis(_slot_inputs(spark, folder), RUN_DATE)
+    return slots.report_lines(wide, ["Segment", "Category", "SKU"]).select("line_no", "Make", "Model", "Width", "Profile", "Rim", "Segment", "Category", "SKU")
+
+
+def size_file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return size_file.file_lines(size_slots(spark, folder)).select("line_no", "slot_number", "Size", "product_id")
+
+
+def runlist_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The 100 first rows in file order."""
+    return audit.run_list_head(files.runlist(td.runlist(spark, folder)), 100)
+
+
+def page_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers packed into pages of fifty and taken out again."""
+    fields = F.struct("Vehicle", "Size", *lists.HOTBOXES, lists.words(F.col("SKUs")).alias("SKUs"), "success")
+    page_of = F.floor(F.col("position") / 50).alias("page")
+    rows = td.run_results(spark, folder).select(page_of, F.col("position").alias("_p"), fields.alias("item"))
+    packed = rows.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("_p", "item"))).alias("items"))  # at most fifty orders
+    pages = packed.select("page", F.lit("all").alias("Segment"), F.col("items.item").alias("items"))
+    return clean.flattened(pages).select("position.page", "position.at", "Segment", "Vehicle", "Size", "HB1", "HB4", "SKUs", "success")
+
+
+def contract_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers without exactly twenty products, or without success."""
+    few = F.slice(lists.words(F.col("SKUs")), F.lit(1), (F.lit(20) - F.col("position") % 2).cast("int"))
+    return audit.contract(td.run_results(spark, folder).withColumn("SKUs", few)).select("position", F.size("SKUs").cast("bigint").alias("n"), "success")
+
+
+def error_lines(spark: SparkSession, folder: str) -> DataFrame:
+    asked = td.requests(spark, folder)
+    return asked.select("Vehicle", "Size", parsing.error_line(F.col("Vehicle"), F.col("Size"), "NoContent").alias("line"))
+
+
+def failure_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of failed requests, and of all requests of a failed batch."""
+    batched = audit.batched(files.runlist(td.runlist(spark, folder)), 64)
+    message = F.concat(F.element_at(F.array(*map(F.lit, ("read timeout ", "api limit ", "broken "))), (F.col("position") % 3 + 1).cast("int")), F.col("position").cast("string"))
+    out = clean.batch_outcomes(batched, F.col("batch") % 7 == 3)
+    return out.select("position", "batch", "success", F.coalesce("error_code", clean.failure_code(message)).alias("error_code"))
+
+
+def segment_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of two segments."""
+    fits = files.segment_list(td.segment_list(spark, folder))
+    return audit.allowed_segments(fits, ["BUILDING", "MACHINERY"]).select("position", "Vehicle", "Size", "Segment")
+
+
+def size_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup's first rows for one size, found anywhere in the size text."""
+    found = candidates.single_lookup(scored_table(spark, folder), "175/")
+    return found.select("size_key", "vehicle_key", "ProductId", "TyreScore", "Units", "OFFER")
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and times as text, so that any reader shows the same value."""
     shown = {
@@ -406,6 +485,9 @@ _JOBS = {
     "slot_checks": slot_checks, "vehicle_sizes": vehicle_sizes, "vehicle_list": vehicle_list, "fit_page": fit_page,
     "runlist_batches": runlist_batches, "runlist_head": runlist_head, "distinct_makes": distinct_makes,
     "csv_round_trip": csv_round_trip, "golden_diff": golden_diff, "latest_stage": latest_stage, "recent_log": recent_log,
+    "snapshot_latest": snapshot_latest, "json_log": json_log, "clean_headers": clean_headers, "report_lines": report_lines,
+    "size_file_lines": size_file_lines, "runlist_first": runlist_first, "page_records": page_records, "contract_breaks": contract_breaks,
+    "error_lines": error_lines, "failure_codes": failure_codes, "segment_rows": segment_rows, "size_lookup": size_lookup,
 }
 
 
