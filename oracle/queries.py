@@ -6,6 +6,7 @@ from oracle.constants import (
     BLOCK_HEADERS, BRANDS_A, BRANDS_B_ONLY, COLUMNS, DEFAULT_JOURNEY, EXCLUDED_PAGES, INFLUENCE, JOURNEY_RULES, LETTER_POINTS, NO_REGISTRATION,
     NOISE_POINTS, SIZE_JOURNEY, SLOT_LAYOUT, TIERS,
 )
+from oracle import slots
 from oracle.inputs import SLOT_COLUMNS, query
 
 RUN_DATE = "DATE '2024-01-31'"
@@ -453,10 +454,28 @@ def oracle() -> dict[str, str]:
             FROM (SELECT DISTINCT {size_key('Size')} AS size_key, {vehicle_key('Vehicle')} AS vehicle_key FROM asked) r JOIN ({numbered}) k USING (size_key) GROUP BY 1, 2) r)""",
         "asked",
     )
-    zeros = ", ".join(
-        f"0 AS {c}" for c in ("other_size", "not_in_set_a", "not_in_set_b", "budget_too_high", "too_many_budget", "repeated")
+    wanted = f"SELECT {size_key('Size')} AS size_key, {vehicle_key('Vehicle')} AS vehicle_key, min(Segment) AS Segment FROM asked GROUP BY 1, 2"
+    dashes = "[" + ", ".join(["'-'"] * 24) + "]"
+    cells = ", ".join(f"slots[{i}] AS {c}" for i, c in enumerate(SLOT_COLUMNS, 1))
+    told = f"""SELECT Vehicle, Size, {cells}, len(list_filter(slots[1:4], lambda x: NOT regexp_full_match(x, '[0-9]{{7,8}}'))) = 0 AS success
+      FROM (SELECT a.Vehicle, a.Size, coalesce(c.slots, {dashes}) AS slots FROM asked a
+        LEFT JOIN chosen_slots c ON c.size_key = {size_key("a.Size")} AND c.vehicle_key = {vehicle_key("a.Vehicle")})"""
+
+    def selected(final: str, match: str, enhanced: bool) -> str:
+        return over_output(final, "asked", wanted=wanted, **slots.answers(match, enhanced, lambda c: exact("avg", c)))
+
+    out["hotbox_slots"] = selected(told, "false", False)
+    out["hotbox_slots_promoted"] = selected(told, "lower(BRAND) = 'michelin'", True)
+    boxes = " UNION ALL ".join(f"SELECT Vehicle, Size, {i} AS box, HB{i} AS id FROM ({told})" for i in range(1, 5))
+    out["hotbox_violations"] = selected(
+        f"""SELECT CAST(sum(other_size) AS BIGINT) AS other_size, CAST(sum(not_in_set_a) AS BIGINT) AS not_in_set_a, CAST(sum(not_in_set_b) AS BIGINT) AS not_in_set_b,
+          CAST(sum(budget_too_high) AS BIGINT) AS budget_too_high, CAST(sum(greatest(budgets - 1, 0)) AS BIGINT) AS too_many_budget, CAST(sum(boxes - ids) AS BIGINT) AS repeated
+        FROM (SELECT count(*) FILTER (f.id IS NULL) AS other_size, count(*) FILTER (box < 4 AND NOT f.a) AS not_in_set_a, count(*) FILTER (box = 4 AND NOT f.b) AS not_in_set_b,
+            count(*) FILTER (box < 4 AND f.budget) AS budget_too_high, count(*) FILTER (f.budget) AS budgets, count(*) AS boxes, count(DISTINCT t.id) AS ids
+          FROM ({boxes}) t LEFT JOIN (SELECT size_key, id, bool_or(a) AS a, bool_or(b) AS b, bool_or(grade = 'Budget') AS budget FROM feat GROUP BY 1, 2) f
+            ON f.size_key = {size_key("t.Size")} AND f.id = t.id WHERE t.id <> '-' GROUP BY t.Vehicle, t.Size)""",
+        "lower(SEASONAL_PERFORMANCE) = 'winter'", True,
     )
-    out["hotbox_violations"] = f"SELECT {zeros}"
     out["best_of_pool"] = over_output(
         f"""SELECT size_key, vehicle_key, {", ".join(f"max(id) FILTER (n = {i}) AS HB{i}" for i in (1, 2, 3))} FROM (SELECT DISTINCT size_key, vehicle_key FROM keyed)
         LEFT JOIN ({POOL}) USING (size_key, vehicle_key) GROUP BY 1, 2"""

@@ -69,8 +69,8 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_every_query_but_the_selection_has_sql():
+def test_every_query_has_sql():
     from treadmark.queries import QUERIES
 
-    assert set(QUERIES) - set(entry.oracle_sql()) == {"hotbox_slots", "hotbox_slots_promoted"}
+    assert not set(QUERIES) - set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())

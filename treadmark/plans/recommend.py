@@ -283,7 +283,7 @@ def select_slots(fits: DataFrame, rules: Rules) -> DataFrame:
     brand = rules.named_brand.lower().replace("'", "''")
     df = _with(
         df,
-        has_brand=f"exists(pool, x -> x.brand = '{brand}' AND (array_contains(hot, x.id) OR x.id = box4))",
+        has_brand=f"exists(pool, x -> x.brand = '{brand}' AND (array_contains(hot, x.id) OR coalesce(x.id = box4, false)))",
         seller=f"get(filter(slice(popular, 1, {POPULAR}), x -> x.brand = '{brand}' AND x.a), 0).id",
     )
     df = _with(
