@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -50,6 +51,12 @@ def fresh(name: str) -> str:
     return f"{name}-{uuid.uuid4().hex}"
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps whose results are written: it does so when nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches, one batch's Python objects at a time."""
     for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from treadmark.llm.common import LOWER_BYTES, only, rows_of, ship, shuffle_partitions, table
+from treadmark.llm.common import LOWER_BYTES, free, only, rows_of, ship, shuffle_partitions, table
 from treadmark.session import durable
 
 WIDTH, PERCENT = 5, 75
@@ -197,11 +197,6 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(overlap * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def _free(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of steps whose results are written."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
@@ -215,12 +210,15 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     """
     spark = docs.sparkSession
     every = shared_shingles(docs, width, percent, text)
-    _free(spark)
+    free(spark)
     some = every.filter("ids IS NOT NULL")
-    # Equal sets are one vertex.  A document with a shingle of its own equals no other.
-    same = F.when(F.size("ids") == F.col("n"), F.sha2(F.array_join("ids", ",").cast("binary"), 256)).otherwise(F.col("row").cast("string"))
-    keyed = some.withColumn("key", same)
-    reps = durable(keyed.groupBy("key").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("ids").alias("ids"), F.count("*").alias("copies")), "reps")
+    # Equal sets are one vertex.  A document with a shingle of its own equals no other and need not move.
+    full = F.size("ids") == F.col("n")
+    keyed = some.filter(full).withColumn("key", F.sha2(F.array_join("ids", ",").cast("binary"), 256))
+    ones = keyed.groupBy("key").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("ids").alias("ids"), F.count("*").alias("copies"))
+    alone = some.filter(~full).select(F.lit(None).cast("string").alias("key"), F.col("row").alias("rep"), "n", "ids", F.lit(1).cast("long").alias("copies"))
+    reps = durable(ones.union(alone), "reps")
+    free(spark)
     members = keyed.select("row", "key").join(reps.filter("copies > 1").select("key", "rep"), "key").select("row", "rep")
     cells = reps.select("rep", "n", F.explode("ids").alias("id"))
     rare = cells.groupBy("id").agg(F.count("*").alias("df")).filter("df > 1")
@@ -228,7 +226,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     found = found.filter(F.size("found") >= need(F.col("n"), percent))
     first = F.slice("found.id", 1, (F.size("found") - need(F.col("n"), percent) + 1).cast("int"))
     sets = durable(found.select("rep", "n", F.col("found.id").alias("ids"), first.alias("first")), "sets")
-    _free(spark)
+    free(spark)
     labels = None
     for turn in range(STAR_ROUNDS + 1):
         posted = sets.select("rep", "n", F.explode("first").alias("id"))
@@ -259,7 +257,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
         if labels is not None:
             links = links.union(labels.filter("v <> c").select("v", "c"))
         labels = components(links)
-        _free(spark)
+        free(spark)
     if labels is None:
         labels = spark.createDataFrame([], "v long, c long")
     joined = some.select("row", "doc_id").join(members, "row", "left").withColumn("rep", F.coalesce("rep", "row"))
