@@ -461,10 +461,11 @@ def oracle() -> dict[str, str]:
       FROM (SELECT a.Vehicle, a.Size, coalesce(c.slots, {dashes}) AS slots FROM asked a
         LEFT JOIN chosen_slots c ON c.size_key = {size_key("a.Size")} AND c.vehicle_key = {vehicle_key("a.Vehicle")})"""
 
-    def selected(final: str, match: str, enhanced: bool) -> str:
-        return over_output(final, "asked", wanted=wanted, **slots.answers(match, enhanced, lambda c: exact("avg", c)))
+    def selected(final: str, match: str, enhanced: bool, **more) -> str:
+        return over_output(final, "asked", wanted=wanted, **slots.answers(match, enhanced, lambda c: exact("avg", c), **more))
 
     out["hotbox_slots"] = selected(told, "false", False)
+    out["hotbox_runflat_makes"] = selected(told, "false", False, makes=("nation1", "nation2"))
     out["hotbox_slots_promoted"] = selected(told, "lower(BRAND) = 'michelin'", True)
     boxes = " UNION ALL ".join(f"SELECT Vehicle, Size, {i} AS box, HB{i} AS id FROM ({told})" for i in range(1, 5))
     out["hotbox_violations"] = selected(

@@ -49,10 +49,10 @@ def first(items: str, test: str) -> str:
     return f"({kept(items, test)}[1]).id"
 
 
-def answers(match: str, enhanced: bool, mean) -> dict[str, str]:
+def answers(match: str, enhanced: bool, mean, makes=("bmw", "mercedes", "mini")) -> dict[str, str]:
     """Steps that end in ``slots`` (size_key, vehicle_key, slots); they read ``keyed`` and ``wanted``.
 
-    ``mean`` gives the exact average of a column.
+    ``mean`` gives the exact average of a column; ``makes`` want run-flats when the data say nothing.
     """
     steps = {
         "feat": rows(match),
@@ -120,7 +120,7 @@ def answers(match: str, enhanced: bool, mean) -> dict[str, str]:
     step(named="CASE WHEN PremiumShare >= 25 AND NOT has_brand THEN seller END")
     displace("named")
     step(
-        wanted_flats="CASE WHEN NOT known THEN 0 WHEN runflat_share >= 85 THEN 3 WHEN runflat_share >= 55 THEN 2 WHEN runflat_share >= 20 THEN 1 ELSE 0 END",
+        wanted_flats=f"CASE WHEN NOT known AND ({' OR '.join(f'starts_with(vehicle_key, $${m}$$)' for m in makes)}) THEN 3 WHEN NOT known THEN 0 WHEN runflat_share >= 85 THEN 3 WHEN runflat_share >= 55 THEN 2 WHEN runflat_share >= 20 THEN 1 ELSE 0 END",
         seller=first("popular", "x.runflat AND x.a"), runflats=f"list_transform({kept('pool', 'x.a AND x.runflat')}, lambda x: x.id)",
     )
     step(extra="CASE WHEN wanted_flats > 0 AND NOT coalesce(seller = box4, false) THEN seller END")

@@ -29,6 +29,19 @@ def test_no_python_workers_and_no_single_task_over_rows(spark, small, name):
             assert "HashAggregate" in below, below
 
 
+@pytest.mark.parametrize("name", ("tyre_score", "score_output", "tiered_candidates", "hotbox_slots", "backfill", "quality", "token_fact"))
+def test_staged_steps_use_no_python_and_no_cross_join(spark, small, name, monkeypatch):
+    from treadmark import session
+
+    plans = []
+    monkeypatch.setattr(session, "plan_listener", plans.append)
+    entry.queries()[name](spark, small)
+    assert plans
+    for text in plans:
+        assert "Python" not in text and "Pandas" not in text
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
 def test_filters_and_columns_reach_the_scan(spark, small):
     from treadmark.plans import attribution
     from treadmark.queries import _base

@@ -48,13 +48,15 @@ class Rules:
     season: str | None = None
     named_brand: str = "michelin"
     named_share: float = 25.0
+    # Fixed value: makes that want run-flats when the data say nothing.
+    runflat_makes: tuple[str, ...] = ("BMW", "MERCEDES", "MINI")
 
     def checked(self) -> Rules:
         """Limits outside their bounds fall back to the defaults."""
         return Rules(
             clamped(self.zone_pct, 5, 50, 15), clamped(self.fluctuation_upper, 1.0, 2.0, 1.1),
             clamped(self.fluctuation_lower, 0.5, 1.0, 0.9), self.brand, self.model, self.season, self.named_brand,
-            self.named_share,
+            self.named_share, self.runflat_makes,
         )
 
 
@@ -292,10 +294,12 @@ def select_slots(fits: DataFrame, rules: Rules) -> DataFrame:
     )
     df = _displace(df, "named")
     # Run-flats: so many as the share asks for, the top seller among them.
+    makes = " OR ".join(f"startswith(vehicle_key, '{m.lower()}')" for m in rules.runflat_makes) or "false"
+    most = max(count for _, count in RUNFLAT_STEPS)
     steps = " ".join(f"WHEN runflat_share >= {bound} THEN {count}" for bound, count in reversed(RUNFLAT_STEPS))
     df = _with(
         df,
-        wanted=f"CASE WHEN NOT known THEN 0 {steps} ELSE 0 END",
+        wanted=f"CASE WHEN NOT known AND ({makes}) THEN {most} WHEN NOT known THEN 0 {steps} ELSE 0 END",
         seller="get(filter(popular, x -> x.runflat AND x.a), 0).id",
         runflats="transform(filter(pool, x -> x.a AND x.runflat), x -> x.id)",
     )

@@ -225,6 +225,12 @@ def hotbox_slots_promoted(spark: SparkSession, folder: str) -> DataFrame:
     return recommend.recommend(_requests(spark, folder), scored, recommend.Rules(brand="Michelin"))
 
 
+def hotbox_runflat_makes(spark: SparkSession, folder: str) -> DataFrame:
+    """The slots when the makes of two nations want run-flats, whatever the data lack."""
+    scored = _scored(spark, folder)
+    return recommend.recommend(_requests(spark, folder), scored, recommend.Rules(runflat_makes=("NATION1", "NATION2")))
+
+
 def hotbox_violations(spark: SparkSession, folder: str) -> DataFrame:
     """Rule breaks over all answers, which must all be zero."""
     scored, asked = _scored(spark, folder), _requests(spark, folder)
@@ -477,6 +483,7 @@ _JOBS = {
     "asof_purchase": asof_purchase, "merch_report": merch_report, "rolling_replace": rolling_replace,
     "top100_candidates": top100_candidates, "bulk_candidates": bulk_candidates, "tiered_candidates": tiered_candidates,
     "text_block": text_block, "request_blocks": request_blocks, "hotbox_slots": hotbox_slots, "hotbox_slots_promoted": hotbox_slots_promoted,
+    "hotbox_runflat_makes": hotbox_runflat_makes,
     "hotbox_violations": hotbox_violations, "best_of_pool": best_of_pool, "parse_output": parse_output,
     "backfill": backfill, "repair_size": repair_size, "dedup_rows": dedup_rows, "make_model": make_model,
     "reconcile": reconcile, "outcome_counts": outcome_counts, "consistency": consistency, "top_skus": top_skus,

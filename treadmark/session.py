@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,11 @@ CLUSTER_CONF = {
 }
 
 
+#: If set, gets the plan of every table that ``durable`` writes: a query's own plan shows only what follows the last of them.
+plan_listener: Callable[[str], None] | None = None
+_staged: list[tuple[SparkSession, str]] = []
+
+
 def local_session(cores: str = "8", app: str = "treadmark", **conf: str) -> SparkSession:
     """A single-JVM session for tests and the local bench."""
     builder = (
@@ -48,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if not sc.master.startswith("local") and (named.startswith("file:") or ":" not in named):
+            warnings.warn(f"{named} must be mounted on every machine of the cluster", stacklevel=2)
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
@@ -73,8 +83,24 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` written once to the shared folder and read back from there.
 
     Cuts lineage: what follows reads columns from files and never recomputes
-    ``df``, whichever executors are lost.  The folder is the caller's to clean.
+    ``df``, whichever executors are lost.  The folder goes when the program
+    ends, or with ``clear_staged``.
     """
+    if plan_listener:
+        plan_listener(df._jdf.queryExecution().executedPlan().toString())
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def clear_staged() -> None:
+    """Delete the folders that ``durable`` wrote; results that still read them must be written before."""
+    while _staged:
+        spark, path = _staged.pop()
+        try:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session has ended: its temporary folder or the folder's owner cleans up
+            _staged.clear()
