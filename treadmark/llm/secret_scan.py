@@ -21,7 +21,8 @@ class Rule:
     """A kind of secret: what matches ``pattern``, leftmost and without overlap, and then passes ``least``.
 
     ``group`` is what must be at least ``least`` characters long (0: the whole match).  A change of a rule needs another
-    ``version``: the ledger then scans every blob for it again.
+    ``version``: the ledger then scans every blob for it again.  ``quick``, if given, is a pattern that every text with a
+    passing match holds; texts without it are not taken apart.
     """
 
     kind: str
@@ -29,13 +30,14 @@ class Rule:
     least: int = 0
     group: int = 0
     version: int = 1
+    quick: str = ""
 
 
 #: The base kinds, in the order of their listing, then those that this scan adds.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
-    Rule("access", r"AKIA[A-Z0-9]+", 20),
-    Rule("hex", r"[0-9a-f]+", 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 20, quick=r"AKIA[A-Z0-9]{16}"),
+    Rule("hex", r"[0-9a-f]+", 24, quick=r"[0-9a-f]{24}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
@@ -54,9 +56,7 @@ def _found(blobs: DataFrame, rule: Rule) -> DataFrame:
     The matches are marked in the text, the text is cut at the marks, and the lengths of the cuts before a match add up
     to its place.  Only blobs with a match are taken apart.
     """
-    # A quick look first: few texts hold a match that is long enough, and those alone are marked.
-    quick = {"access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}.get(rule.kind, rule.pattern)
-    held = blobs.filter(F.col("text").rlike(quick))
+    held = blobs.filter(F.col("text").rlike(rule.quick or rule.pattern))
     marked = F.regexp_replace("text", f"({rule.pattern})", f"{OPEN}$1{CLOSE}")
     cuts = held.select("blob", F.posexplode(F.split(marked, f"[{OPEN}{CLOSE}]")).alias("at", "cut"))
     whole = F.regexp_extract("cut", rule.pattern, rule.group)
