@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gc
 import os
+import pickle
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word: a run of anything but the six ASCII white-space characters.
@@ -57,6 +59,15 @@ def free(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def pack(value: object) -> bytes:
+    """A compressed message from one of the package's tasks to another."""
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(value, 5))
+
+
+def unpack(data: bytes):
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches, one batch's Python objects at a time."""
     for batch in batches:
