@@ -24,6 +24,8 @@ CLUSTER_CONF = {
 }
 
 
+#: Spark's own setting: remove the shuffle files of an execution when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: If set, gets the plan of every table that ``durable`` writes: a query's own plan shows only what follows the last of them.
 plan_listener: Callable[[str], None] | None = None
 _staged: list[tuple[SparkSession, str]] = []
@@ -88,8 +90,13 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     if plan_listener:
         plan_listener(df._jdf.queryExecution().executedPlan().toString())
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")  # nothing reads the shuffle files of a written table again
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     _staged.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
