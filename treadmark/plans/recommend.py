@@ -197,10 +197,11 @@ def scopes(requests: DataFrame, scored: DataFrame, rules: Rules) -> DataFrame:
     # over all cores; sizing tasks by bytes would put them in a few.
     tasks = max(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted.sparkSession.sparkContext.defaultParallelism)
     wanted = wanted.repartition(tasks, *NARROW)
-    # The scored table is read once; its narrow rows and then the best row per
-    # product are what the lists and shares start from.
-    rows = durable(features(scored, rules), "features")
-    best = durable(best_rows(rows.join(wanted.select(*WIDE).distinct(), WIDE, "left_semi")), "best-rows")
+    # Only rows of requested sizes are written; a segment's shares come from all
+    # rows, but need a few columns and one aggregate.
+    every = features(scored, rules)
+    rows = durable(every.join(wanted.select(*WIDE).distinct(), WIDE, "left_semi"), "features")
+    best = durable(best_rows(rows), "best-rows")
     asked = best.join(wanted.select(*NARROW), NARROW, "left_semi")
     own = short_lists(asked, NARROW).withColumnsRenamed({"pool": "own_pool", "popular": "own_popular"})
     size = short_lists(best, WIDE).withColumnsRenamed({"pool": "size_pool", "popular": "size_popular"})
@@ -208,7 +209,7 @@ def scopes(requests: DataFrame, scored: DataFrame, rules: Rules) -> DataFrame:
         wanted.join(own, NARROW, "left")
         .join(size, WIDE, "left")
         .join(fit_shares(rows), NARROW, "left")
-        .join(segment_shares(rows), "Segment", "left")
+        .join(segment_shares(every), "Segment", "left")
     )
     shares = {
         name: F.when(F.col("known"), F.col(name)).otherwise(
