@@ -126,3 +126,30 @@ def test_single_lookup_matches_inside_the_size(spark):
     )
     assert [r.ProductId for r in candidates.single_lookup(df, "205/55 R16").collect()] == [2, 1]
     assert [r.ProductId for r in candidates.single_lookup(df, "205/55", "vw-golf", 1).collect()] == [2]
+
+
+def test_a_second_upload_does_not_count_twice(spark, tmp_path):
+    for day, product in (("b", "10000002"), ("a", "10000001")):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "x Sales.csv").write_text(f"{product},VW,Golf,205,55,16,3,9,80.5\n")
+    got = files.read_csv(spark, str(tmp_path), schemas.SALES, header=False, suffix="Sales.csv").collect()
+    assert [r.ProductId for r in got] == ["10000001"]
+    assert files.read_csv(spark, str(tmp_path), schemas.SALES, header=False, suffix="None.csv").count() == 0
+
+
+def test_pages_by_position_are_those_by_limit(spark, monkeypatch):
+    from treadmark.operators import position
+
+    df = spark.range(500).withColumn("k", F.col("id") % 7)
+    order = [F.asc("k"), F.asc("id")]
+    want = [r.id for r in position.page(df, order, 40, 25).collect()]
+    monkeypatch.setattr(position, "HEAD_ROWS", 0)
+    assert sorted(r.id for r in position.page(df, order, 40, 25).collect()) == sorted(want)
+
+
+def test_row_drift_counts_repeats(spark):
+    from treadmark.operators.compare import row_drift
+
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "i int, s string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "i int, s string")
+    assert sorted(map(tuple, row_drift(a, b).collect())) == [(1, "x", "golden"), (3, "y", "current")]
