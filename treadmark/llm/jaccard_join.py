@@ -26,7 +26,7 @@ WIDTH, PERCENT = 5, 75
 #: A chunk of documents ends after so many shingles or documents.
 CHUNK_SHINGLES, CHUNK_DOCS = 1_500_000, 60_000
 MEMORY = 300_000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 48) - 1)
@@ -224,29 +224,35 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     rare = cells.groupBy("id").agg(F.count("*").alias("df")).filter("df > 1")
     found = cells.join(rare, "id").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "id"))).alias("found"))
     found = found.filter(F.size("found") >= need(F.col("n"), percent))
-    first = F.slice("found.id", 1, (F.size("found") - need(F.col("n"), percent) + 1).cast("int"))
+    # Shingles of one document alone come before all others.  ``left`` is how many of a document's shingles stand from one
+    # on: a pair's first common shingle must leave enough on both sides.
+    ranked = F.transform("found.id", lambda x, i: F.struct(x.alias("id"), (F.size("found") - i).cast("long").alias("left")))
+    first = F.slice(ranked, 1, (F.size("found") - need(F.col("n"), percent) + 1).cast("int"))
     sets = durable(found.select("rep", "n", F.col("found.id").alias("ids"), first.alias("first")), "sets")
     free(spark)
     labels = None
     for turn in range(STAR_ROUNDS + 1):
-        posted = sets.select("rep", "n", F.explode("first").alias("id"))
+        posted = sets.select("rep", "n", F.explode("first").alias("f")).select("rep", "n", "f.id", "f.left")
         if labels is None:
             posted = posted.withColumn("c", F.col("rep"))
         else:
             l = labels.select(F.col("v").alias("rep"), "c")
             posted = posted.join(l, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-        a, b = posted.select("id", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")), posted
+        a, b = posted.select("id", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("c").alias("c_a")), posted
         if turn < STAR_ROUNDS:
-            # Every posting meets one leader: as many pairs as postings, however large a group is.
-            lead = F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "n_a", "c_a")).alias("l")
-            a = a.groupBy("id").agg(lead, F.min("c_a").alias("x"), F.max("c_a").alias("y")).filter("x <> y").select("id", "l.a", "l.n_a", "l.c_a")
+            # Every posting meets two leaders: twice as many pairs as postings, however large a group is.
+            one = F.struct(F.xxhash64("a", F.lit(turn)), "a", "n_a", "left_a", "c_a")
+            two = F.array_distinct(F.array(F.min(one), F.max(one))).alias("two")
+            a = a.groupBy("id").agg(two, F.min("c_a").alias("x"), F.max("c_a").alias("y")).filter("x <> y")
+            a = a.select("id", F.explode("two").alias("l")).select("id", "l.a", "l.n_a", "l.left_a", "l.c_a")
             apart = F.col("c_a") != F.col("c")
         else:
             # What is left: all pairs of a posting that the links found so far do not join already.
             mixed = posted.groupBy("id").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("id")
             b = posted.join(mixed, "id", "left_semi")
             apart = F.col("c_a") < F.col("c")
-        sized = (F.col("n_a") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("n_a") * percent)
+        most = F.least("left_a", "left", "n_a", "n")
+        sized = most * (100 + percent) >= (F.col("n_a") + F.col("n")) * percent
         pairs = a.join(b, "id").filter(apart & sized).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
         pairs = durable(pairs, "pairs")
         if not pairs.limit(1).count():
