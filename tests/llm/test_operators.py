@@ -74,6 +74,39 @@ def test_pareto_order_prefers_large_odds(spark):
     assert long > short
 
 
+def test_long_documents_are_stepped_over(spark):
+    """Sources in which one document holds half of the words, against a walk in plain Python."""
+    rows = [(s * 1000 + i, "w " * (n := 3000 if not i else 1 + i * 7 % 59), f"s{s:02}", n) for s in range(12) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    found = mix.pareto_mix(docs).toPandas()
+    gaps = []
+    for _, own in found.groupby("source"):
+        sizes, copies = dict(zip(own["doc_id"], own["size"], strict=True)), dict(zip(own["doc_id"], own["copies"], strict=True))
+        target, a = own["target"].iloc[0], {d: int(n).bit_length() for d, n in sizes.items()}
+        low, high = 0.0, 3.0
+        for _ in range(200):
+            rate = (low + high) / 2
+            low, high = (rate, high) if sum(n * min(3, rate * a[d]) for d, n in sizes.items()) < target else (low, rate)
+        expected = {d: min(3, high * a[d]) for d in sizes}
+        whole = {d: math.floor(e + 1e-9) for d, e in expected.items()}
+        place = {}
+        for d, e in expected.items():
+            u, p = (int(hashlib.md5(f"mix-1:{d}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52, e - whole[d]
+            if p > 1e-9:
+                odds = u / (1 - u) / (p / (1 - p))
+                place[d] = odds / (1 + odds)
+        need, taken = target - sum(whole[d] * n for d, n in sizes.items()), set()
+        for d in sorted(place, key=place.get):
+            if sizes[d] <= need:
+                need -= sizes[d]
+                taken.add(d)
+        closer = [(abs(need - sizes[d]), place[d], d) for d in place if d not in taken and abs(need - sizes[d]) < need]
+        taken |= {min(closer)[2]} if closer else set()
+        assert copies == {d: whole[d] + (d in taken) for d in sizes}
+        gaps.append(abs(own["taken"].sum() - target))
+    assert max(gaps) < 60
+
+
 # --- quality rules
 
 def test_rules_count_like_python(spark, small):

@@ -74,6 +74,59 @@ def _edge(rows: DataFrame, bin_: Column) -> DataFrame:
     )
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``drawn``: those before the first, in the order of their places, that no longer fits into their
+    source's ``need``.  Two counts over the bins find it, so only the last bin's rows are sorted."""
+    first = F.floor(F.col("place") * BINS)
+    second = F.floor((F.col("place") * BINS - first) * BINS)
+    drawn = rows.filter("place IS NOT NULL")
+    edge = durable(_edge(drawn, first), "edge").withColumnsRenamed({"source": "s1", "edge": "edge1", "before": "before1"})
+    near = rows.join(edge, F.col("source").eqNullSafe(F.col("s1")), "left").drop("s1", "base")
+    inner = near.filter(first == F.col("edge1")).withColumn("base", F.col("before1"))
+    edge2 = durable(_edge(inner, second), "edge").withColumnsRenamed({"source": "s2", "edge": "edge2", "before": "before2"})
+    near = near.join(edge2, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2", "before1")
+    at_edge = F.coalesce((first == F.col("edge1")) & (second == F.col("edge2")), F.lit(False))
+    in_order = W.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = (
+        near.filter(at_edge)
+        .withColumn("so_far", F.col("before2") + F.sum("size").over(in_order))
+        .withColumn("drawn", F.col("so_far") <= F.col("need"))
+        .drop("so_far")
+    )
+    before = F.col("place").isNotNull() & (
+        F.col("edge1").isNull() | (first < F.col("edge1")) | ((first == F.col("edge1")) & (F.col("edge2").isNull() | (second < F.col("edge2"))))
+    )
+    rest = near.filter(~at_edge).withColumn("drawn", F.coalesce(before, F.lit(False)))
+    return durable(rest.unionByName(last).drop("edge1", "edge2", "before2"), "drawn")
+
+
+def _walk(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``drawn``, and the words that each source (``s``) still misses (``gap``).
+
+    The order is walked to its end: a document larger than what is missing is stepped over.  What is missing never
+    grows, so such a document cannot fit later: each round cuts the order of the documents that still fit, until none does.
+    """
+    parts, gap = [], None
+    while True:
+        cut = _cut(rows)
+        size_drawn = F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))
+        left = durable(cut.groupBy("source").agg((F.first("need") - size_drawn).alias("gap")), "gap").withColumnRenamed("source", "s")
+        # a source without documents that fit is in no later round and keeps its gap
+        gap = left if gap is None else durable(
+            gap.join(left.withColumnsRenamed({"s": "t", "gap": "now"}), F.col("s").eqNullSafe(F.col("t")), "left").select("s", F.coalesce("now", "gap").alias("gap")), "gap"
+        )
+        found = cut.join(left, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        fits = F.col("place").isNotNull() & ~F.col("drawn") & (F.col("size") <= F.col("gap"))
+        parts.append(found.filter(~fits).drop("gap"))
+        rows = found.filter(fits).withColumn("need", F.col("gap")).withColumn("base", F.lit(0)).drop("gap", "drawn")
+        if not rows.limit(1).count():
+            break
+    picked = parts[0]
+    for part in parts[1:]:
+        picked = picked.unionByName(part)
+    return durable(picked.drop("part", "need"), "picked"), gap
+
+
 def pareto_mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, text: str = "text",
 ) -> DataFrame:
@@ -81,9 +134,10 @@ def pareto_mix(
 
     Longer documents have a larger appetite (the bits of their size); a document expects min(cap, rate * appetite)
     copies.  Its whole copies are certain.  The parts below one are inclusion probabilities p, and a source's sample is
-    drawn by Pareto order sampling: documents in the order of (u / (1-u)) / (p / (1-p)) while they still
-    fit into the words that are missing; the one document whose size is nearest to what then remains closes the gap.  The order's place is found by counts over 1024 bins, twice, so that
-    only about a millionth of a source's rows is ever sorted in one task.
+    drawn by Pareto order sampling: in the order of (u / (1-u)) / (p / (1-p)), each document that still fits into the
+    words that are missing is taken, larger ones are stepped over; when none fits, the one document whose size is nearest
+    to what remains closes the gap.  The order's places are found by counts over 1024 bins, twice, so that only about a
+    millionth of a source's rows is ever sorted in one task.
 
     A null text has size 0 and is never repeated beyond its certain copies; a null source is a source, the last one.
     A null doc_id draws like the empty id.  Repeated rows draw alike and count each; an empty table gives no rows.
@@ -109,29 +163,7 @@ def pareto_mix(
         .withColumn("base", F.lit(0))
         .drop("s", "a", "u", "odds")
     )
-    drawn = rows.filter("place IS NOT NULL")
-    first = F.floor(F.col("place") * BINS)
-    second = F.floor((F.col("place") * BINS - first) * BINS)
-    edge = durable(_edge(drawn, first), "edge").withColumnsRenamed({"source": "s1", "edge": "edge1", "before": "before1"})
-    near = rows.join(edge, F.col("source").eqNullSafe(F.col("s1")), "left").drop("s1", "base")
-    inner = near.filter(first == F.col("edge1")).withColumn("base", F.col("before1"))
-    edge2 = durable(_edge(inner, second), "edge").withColumnsRenamed({"source": "s2", "edge": "edge2", "before": "before2"})
-    near = near.join(edge2, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2", "before1")
-    at_edge = F.coalesce((first == F.col("edge1")) & (second == F.col("edge2")), F.lit(False))
-    in_order = W.partitionBy("source").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    last = (
-        near.filter(at_edge)
-        .withColumn("so_far", F.col("before2") + F.sum("size").over(in_order))
-        .withColumn("drawn", F.col("so_far") <= F.col("need"))
-        .drop("so_far")
-    )
-    before = F.col("place").isNotNull() & (
-        F.col("edge1").isNull() | (first < F.col("edge1")) | ((first == F.col("edge1")) & (F.col("edge2").isNull() | (second < F.col("edge2"))))
-    )
-    rest = near.filter(~at_edge).withColumn("drawn", F.coalesce(before, F.lit(False)))
-    picked = durable(rest.unionByName(last).drop("part", "base", "edge1", "edge2", "before2"), "drawn")
-    size_drawn = F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))
-    gap = picked.groupBy("source").agg((F.first("need") - size_drawn).alias("gap")).withColumnRenamed("source", "s")
+    picked, gap = _walk(rows)
     free = F.col("place").isNotNull() & ~F.col("drawn")
     off = F.abs(F.col("gap") - F.col("size"))
     closer = F.when(free & (off < F.col("gap")), F.struct(off.alias("off"), "place", "doc_id", "size"))
