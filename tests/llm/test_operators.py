@@ -513,6 +513,16 @@ def test_trust_and_distrust_follow_links(spark):
     assert found == {0: "allow", 1: "block", 2: "allow", 3: "block", 4: "block"}
 
 
+def test_hubs_give_their_whole_mass(spark):
+    hosts = spark.range(1_200_000).select(F.lit("block").alias("kind"), F.lit("net").alias("src"), F.concat(F.col("id"), F.lit(".net")).alias("dst"), F.lit(1).cast("long").alias("weight"))
+    edges = hosts.union(hosts.select("kind", "dst", "src", "weight"))
+    seeds = spark.createDataFrame([("block", "7.net", url_filter.MASS)], "kind string, host string, mass long")
+    found = url_filter.propagate(edges, seeds, 2)
+    assert found.filter("host = '8.net'").first()["mass"] > 0
+    total = found.agg(F.sum("mass")).first()[0]
+    assert 0.999 * url_filter.MASS < total <= url_filter.MASS
+
+
 # --- awkward and empty tables
 
 OPERATORS = {

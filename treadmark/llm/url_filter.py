@@ -10,9 +10,7 @@ from treadmark.llm.common import LOWER, UPPER, only, table
 from treadmark.session import durable
 
 #: All seeds of one kind together hold so much; whole numbers, so sums do not depend on their order.
-MASS = 10**12
-#: Edges share a host's mass in millionths.
-SHARES = 10**6
+MASS = 10**18
 #: Of a hundred parts, those that follow links; the others return to the seeds.
 FOLLOW = 85
 ROUNDS = 6
@@ -74,18 +72,17 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, follow:
     """kind, host, mass: personalised PageRank of each kind's seeds (kind, host, mass) over its edges (kind, src, dst, weight).
 
     A host gives ``follow`` hundredths of its mass to its edges by weight; the rest comes from the seeds in every round.
-    Mass of hosts without edges is lost, as is what whole-number division leaves.
+    Each edge's part is divided out of the mass itself, so a hub's edges keep theirs at any degree.  Mass of hosts
+    without edges is lost, as is what whole-number division leaves: less than one of MASS for an edge.
     """
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
-    shared = edges.join(total, ["kind", "src"]).select("kind", "src", "dst", F.expr(f"weight * {SHARES}L div total").alias("share"))
-    shared = durable(shared, "host-edges")
+    shared = durable(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", "weight", "total"), "host-edges")
+    part = F.expr("CAST(mass AS DECIMAL(19)) * CAST(weight AS DECIMAL(18)) div total").alias("mass")
     at = seeds
     for k in range(rounds):
-        given = at.withColumnRenamed("host", "src").join(shared, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), F.expr(f"mass * share div {SHARES}L").alias("mass")
-        )
-        moved = given.groupBy("kind", "host").agg(F.expr(f"sum(mass) * {follow}L div 100").alias("mass"))
-        back = seeds.select("kind", "host", F.expr(f"mass * {100 - follow}L div 100").alias("mass"))
+        given = at.withColumnRenamed("host", "src").join(shared, ["kind", "src"]).select("kind", F.col("dst").alias("host"), part)
+        moved = given.groupBy("kind", "host").agg(F.expr(f"CAST(sum(mass) AS DECIMAL(19)) * {follow} div 100").alias("mass"))
+        back = seeds.select("kind", "host", F.expr(f"CAST(mass AS DECIMAL(19)) * {100 - follow} div 100").alias("mass"))
         at = moved.union(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if k % 2:
             at = durable(at, "mass")  # keeps the plan short
