@@ -523,6 +523,14 @@ def test_hubs_give_their_whole_mass(spark):
     assert 0.999 * url_filter.MASS < total <= url_filter.MASS
 
 
+def test_distrust_reaches_far_hosts(spark):
+    link = lambda to: f'<a href="http://{to}/">x</a>'
+    rows = [(0, "http://bad.net/es/", None), (1, "http://h1.t1/", link("bad.net"))]
+    rows += [(i, f"http://h{i}.t{i}/", link(f"h{i - 1}.t{i - 1}")) for i in range(2, 21)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["verdict"] for r in url_filter.url_filter(pages).collect()} == {"block"}
+
+
 # --- awkward and empty tables
 
 OPERATORS = {

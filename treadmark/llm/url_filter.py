@@ -13,7 +13,11 @@ from treadmark.session import durable
 MASS = 10**18
 #: Of a hundred parts, those that follow links; the others return to the seeds.
 FOLLOW = 85
+#: Rounds of the SQL.  The operator goes on until the masses settle.
 ROUNDS = 6
+#: Masses are compared after so many rounds, and have settled when all changes since then add up to less than a millionth of MASS.
+STEP = 8
+SETTLED = MASS // 10**6
 
 
 @dataclass(frozen=True)
@@ -68,9 +72,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return between.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, follow: int = FOLLOW) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, follow: int = FOLLOW) -> DataFrame:
     """kind, host, mass: personalised PageRank of each kind's seeds (kind, host, mass) over its edges (kind, src, dst, weight).
 
+    It takes ``rounds`` rounds, or without them as many as it needs: until a step of STEP rounds reaches no further host
+    and changes less than SETTLED in all.  Only these two numbers go to the driver.
+
     A host gives ``follow`` hundredths of its mass to its edges by weight; the rest comes from the seeds in every round.
     Each edge's part is divided out of the mass itself, so a hub's edges keep theirs at any degree.  Mass of hosts
     without edges is lost, as is what whole-number division leaves: less than one of MASS for an edge.
@@ -78,18 +85,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, follow:
     total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     shared = durable(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", "weight", "total"), "host-edges")
     part = F.expr("CAST(mass AS DECIMAL(19)) * CAST(weight AS DECIMAL(18)) div total").alias("mass")
-    at = seeds
-    for k in range(rounds):
-        given = at.withColumnRenamed("host", "src").join(shared, ["kind", "src"]).select("kind", F.col("dst").alias("host"), part)
-        moved = given.groupBy("kind", "host").agg(F.expr(f"CAST(sum(mass) AS DECIMAL(19)) * {follow} div 100").alias("mass"))
-        back = seeds.select("kind", "host", F.expr(f"CAST(mass AS DECIMAL(19)) * {100 - follow} div 100").alias("mass"))
-        at = moved.union(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if k % 2:
-            at = durable(at, "mass")  # keeps the plan short
+    back = seeds.select("kind", "host", F.expr(f"CAST(mass AS DECIMAL(19)) * {100 - follow} div 100").alias("mass"))
+    at, k = seeds, 0
+    while rounds is None or k < rounds:
+        was = at
+        for _ in range(STEP if rounds is None else min(STEP, rounds - k)):
+            left = at.select("kind", F.col("host").alias("src"), F.expr(f"CAST(mass AS DECIMAL(19)) * {follow} div 100").alias("mass"))
+            given = left.join(shared, ["kind", "src"]).select("kind", F.col("dst").alias("host"), part)
+            at = given.union(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass")).filter("mass > 0")
+            k += 1
+        at = durable(at, "mass")  # keeps the plan short
+        if rounds is None:
+            both = at.select("kind", "host", "mass", F.lit(0).alias("old")).union(was.select("kind", "host", -F.col("mass"), F.lit(1)))
+            moved = both.groupBy("kind", "host").agg(F.sum("mass").alias("d"), F.max("old").alias("old"))
+            change, further = moved.agg(F.sum(F.abs("d").cast("decimal(20)")), F.count(F.when(F.col("old") == 0, 1))).first()
+            if not further and (change or 0) < SETTLED:
+                break
     return at
 
 
-def url_filter(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int = ROUNDS) -> DataFrame:
+def url_filter(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int | None = None) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
     A page's verdict is that of the longest rule that fits.  Pages without one get their host's: trust starts at the
