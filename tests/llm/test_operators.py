@@ -531,6 +531,13 @@ def test_distrust_reaches_far_hosts(spark):
     assert {r["verdict"] for r in url_filter.url_filter(pages).collect()} == {"block"}
 
 
+def test_links_without_scheme_name_hosts(spark):
+    html = ['<a href="//Bad.net/x?u=http://c.org/">x</a> <a href=\'/to/http://d.org/\'>', "<a HREF = HTTP://b.org?//e.org>", None]
+    pages = spark.createDataFrame([("a.io", html[0]), ("a.io", html[1]), ("bad.net", html[2])], "host string, html string")
+    found = {(r["src"], r["dst"]) for r in url_filter.host_edges(pages).collect()}
+    assert {e for e in found if e[0] == "a.io"} == {("a.io", "bad.net"), ("a.io", "b.org"), ("a.io", "io")}
+
+
 # --- awkward and empty tables
 
 OPERATORS = {

@@ -59,9 +59,10 @@ def judged_by_rule(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULE
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, weight: links between hosts, and one link each way between a host and the domain above it."""
-    link = r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
+    link = r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
     links = pages.select("host", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(link), F.lit(1)))).alias("to"))
-    between = links.select(F.col("host").alias("src"), host_of(F.col("to")).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("weight"))
+    named = F.translate(F.regexp_extract("to", r"^[^/]*//([^/?#]*)", 1), UPPER, LOWER)  # with a scheme or without
+    between = links.select(F.col("host").alias("src"), named.alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("weight"))
     between = durable(between.filter("src <> '' AND dst <> '' AND src <> dst"), "links")
     hosts = pages.select("host").union(between.select("dst")).distinct().filter("host <> ''")
     labels = F.split("host", r"\.")
