@@ -6,7 +6,7 @@ import collections
 
 import duckdb
 import pytest
-from test_operators import awkward, base_spans, classes, shingles, words
+from plain_readings import awkward, base_spans, classes, shingles, words
 
 import __spark_entry__ as entry
 import check

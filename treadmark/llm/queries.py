@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from treadmark.llm import (
-    jaccard_join, metric_search, mix, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, token_counts, url_filter,
+    jaccard_join, metric_search, mix, prefix_trie, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, token_counts, url_filter,
 )
 
 QUERIES = {
@@ -17,10 +17,12 @@ QUERIES = {
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_quality_net": quality_net.op9_quality_net,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op1_pareto_mix": mix.ORACLE,
     "op8_metric_search": metric_search.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
