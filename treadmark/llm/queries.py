@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from treadmark.llm import (
-    jaccard_join, metric_search, mix, prefix_trie, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, token_counts, url_filter,
+    jaccard_join, metric_search, mix, prefix_trie, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, target_resampling, token_counts,
+    url_filter,
 )
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_quality_net": quality_net.op9_quality_net,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op12_target_resampling": target_resampling.op12_target_resampling,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
@@ -24,5 +26,6 @@ ORACLE_SQL = {
     "op1_pareto_mix": mix.ORACLE,
     "op8_metric_search": metric_search.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op12_target_resampling": target_resampling.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }
