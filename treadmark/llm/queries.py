@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from treadmark.llm import (
-    jaccard_join, metric_search, mix, prefix_trie, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, target_resampling, token_counts,
-    url_filter,
+    jaccard_join, metric_search, mix, prefix_trie, quality_net, quality_rules, seating_lm, secret_scan, sentence_pieces, subword_toxicity,
+    target_resampling, token_counts, url_filter,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_metric_search": metric_search.op8_metric_search,
     "op9_quality_net": quality_net.op9_quality_net,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_subword_toxicity": subword_toxicity.op11_subword_toxicity,
     "op12_target_resampling": target_resampling.op12_target_resampling,
     "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
