@@ -79,13 +79,11 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_treadmark_shipped", False):
         return
-    here = os.path.dirname(os.path.abspath(__file__))
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     path = os.path.join(tempfile.mkdtemp(prefix="treadmark-source-"), "treadmark_source.zip")
     with zipfile.ZipFile(path, "w") as out:
-        out.writestr("treadmark/__init__.py", "")
-        for folder in (here, os.path.dirname(here)):
-            for name in sorted(os.listdir(folder)):
-                if name.endswith(".py") and (folder == here or name != "__init__.py"):
-                    out.write(os.path.join(folder, name), os.path.join("treadmark", os.path.relpath(os.path.join(folder, name), os.path.dirname(here))))
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                out.write(os.path.join(folder, name), os.path.join("treadmark", os.path.relpath(os.path.join(folder, name), package)))
     sc.addPyFile(path)
     sc._treadmark_shipped = True
