@@ -13,13 +13,30 @@ from treadmark.llm.common import table
 TEXTS = ["", "   ", "one Two, two!", "x" * 40_000, LONG, "é漢🎉 ...", "a"]
 
 
+def one(scorer):
+    return lambda text: scorer([text])[0]
+
+
+def test_subwords_are_those_of_each_word_alone():
+    words = ["", "a", "ab", "worthless", "é漢🎉x", "worthless", "z" * 50]
+    of, buckets = tox.subwords(words)
+    for k, w in enumerate(words):
+        marked = f"<{w}>"
+        grams = [marked[i : i + n] for n in range(tox.SHORTEST, tox.LONGEST + 1) for i in range(len(marked) - n + 1) if n < len(marked)]
+        assert (of == k).sum() == 1 + len(grams)
+        assert sorted(buckets[of == k]) == sorted(tox.subwords([w])[1])
+        repeats = [g for g in grams if grams.count(g) > 1]
+        assert len(set(buckets[of == k])) == 1 + len(set(grams)) or repeats  # no collisions among so few
+    assert set(tox.subwords(["scum"])[1]) & set(tox.subwords(["scumm"])[1])
+
+
 def test_a_text_is_the_mean_of_its_words_and_a_word_of_its_subwords():
     rng = np.random.default_rng(3)
     model = tox.Model(rng.normal(0, 1e-2, (tox.BUCKETS, tox.WIDTH)).astype(np.float32), rng.normal(0, 1, (tox.WIDTH, 2)), np.array([0.1, -0.2]))
-    scorer = tox.Scorer(model)
+    scorer = one(tox.Scorer(model))
     for text in TEXTS:
         words = [w.strip(tox.MARKS) for w in text.lower().split()]
-        vectors = [np.mean([model.vectors[i] for i in tox.subwords(w)], axis=0) for w in (words if len(words) < 99 else [])]
+        vectors = [np.mean(model.vectors[tox.subwords([w])[1]], axis=0) for w in (words if len(words) < 99 else [])]
         used, weights = tox.bag(text)
         assert len(used) <= tox.BUCKETS and (not words or weights.sum() == pytest.approx(1, abs=1e-3))
         mean = np.mean(vectors, axis=0) if vectors else weights @ model.vectors[used]
@@ -33,7 +50,7 @@ def test_fit_tells_the_classes_apart():
     bags = [tox.bag(t) for t in ("good day to you", "you are scum", "a fine day", "scum all day")] * 4
     labels = np.array([0, 1, 0, 1] * 4, float)
     model = tox.fit(bags, labels)
-    p = [tox.Scorer(model)(t) for t in ("good day to you", "you are scum", "a fine day", "scum all day")]
+    p = [one(tox.Scorer(model))(t) for t in ("good day to you", "you are scum", "a fine day", "scum all day")]
     assert max(p[0], p[2]) < 0.5 < min(p[1], p[3])
 
 
@@ -49,7 +66,7 @@ def test_misspellings_share_subwords(spark, small):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
     model = tox.train(docs, labels)
-    scorer = tox.Scorer(model)
+    scorer = one(tox.Scorer(model))
     clean = " ".join(plain[:60])
     assert scorer(clean) < 0.5 < min(scorer(f"{clean} worthles disgustingg"), scorer(f"{clean} Worthlesss!! disgustin"))
 

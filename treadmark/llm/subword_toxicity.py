@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,16 +31,45 @@ LEAST_DOCS, CLEAN_WEIGHT = 4, 1.5
 EPOCHS, BATCH, RATE, DECAY = 10, 32, 0.05, 0.03
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 #: Words whose scores a task remembers.
-MEMORY = 200_000
+MEMORY = 300_000
+#: Texts that are scored, and words that are hashed, at a time.
+SOME, NEW = 64, 20_000
 #: Marks that may stand around a word.
 MARKS = ".,;:!?()[]{}<>\"'`*_~…“”‘’«»„¡¿|/\\-"
 
 
-def subwords(word: str) -> np.ndarray:
-    """Buckets of the word itself and of its n-grams."""
-    marked = f"<{word}>"
-    parts = [marked, *(marked[k : k + n] for n in range(SHORTEST, LONGEST + 1) for k in range(len(marked) - n + 1) if n < len(marked))]
-    return np.fromiter((xxhash.xxh3_64_intdigest(p) & (BUCKETS - 1) for p in parts), np.int64, len(parts))
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MIX
+    return ((h ^ (h >> np.uint64(29))) * _STEP >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each subword of the words (themselves and their n-grams) the word's place and the subword's bucket.
+
+    The hashes of all words' n-grams are made side by side: one multiplication for each further character.
+    """
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    sizes = np.array([len(w) + 2 for w in words])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    of = np.repeat(np.arange(len(words)), sizes)
+    left = ends[of] - np.arange(len(codes))
+    powers = np.cumprod(np.full(int(sizes.max()), _STEP, np.uint64))
+    whole = np.add.reduceat(codes * powers[np.arange(len(codes)) - starts[of]], starts)
+    places, found = [np.arange(len(words))], [_bucket(whole)]
+    h = codes.copy()
+    for n in range(2, LONGEST + 1):
+        if n > len(codes):
+            break
+        h = h[:-1] * _STEP + codes[n - 1 :]
+        if n >= SHORTEST:
+            fits = np.flatnonzero((left[: len(h)] >= n) & (sizes[of[: len(h)]] > n))
+            places.append(of[fits])
+            found.append(_bucket(h[fits] ^ np.uint64(n)))
+    return np.concatenate(places), np.concatenate(found)
 
 
 def words_of(text: str) -> list[str]:
@@ -50,13 +78,14 @@ def words_of(text: str) -> list[str]:
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Vectors that a whole text uses, and their weights, which add up to one."""
-    counts = Counter(words_of(text))
-    total = np.zeros(BUCKETS, np.float64)
-    for word, n in counts.items():
-        own = subwords(word.strip(MARKS))
-        np.add.at(total, own, n / len(own))
+    counts = Counter(w.strip(MARKS) for w in words_of(text))
+    if not counts:
+        return np.empty(0, np.int64), np.empty(0, np.float32)
+    of, buckets = subwords(list(counts))
+    each = np.fromiter(counts.values(), float, len(counts)) / np.bincount(of) / sum(counts.values())
+    total = np.bincount(buckets, each[of], BUCKETS)
     used = np.flatnonzero(total)
-    return used, (total[used] / max(1, sum(counts.values()))).astype(np.float32)
+    return used, total[used].astype(np.float32)
 
 
 @dataclass
@@ -73,23 +102,25 @@ class Model:
 
 
 class Scorer:
-    """Probabilities of texts; words are remembered by the sum they add."""
+    """Probabilities of texts; words are remembered by what they add."""
 
     def __init__(self, model: Model):
         self.gap, self.base, self.known = model.gap(), float(model.shift[1] - model.shift[0]), {}
 
-    def _word(self, word: str) -> float:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            found = self.known[word] = float(self.gap[subwords(word.strip(MARKS))].mean())
-        return found
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), NEW):
+            some = words[at : at + NEW]
+            of, buckets = subwords([w.strip(MARKS) for w in some])
+            self.known.update(zip(some, (np.bincount(of, self.gap[buckets]) / np.bincount(of)).tolist(), strict=True))
 
-    def __call__(self, text: str) -> float:
-        words = words_of(text)
-        mean = sum(map(self._word, words)) / len(words) if words else 0.0
-        return float(1 / (1 + np.exp(-np.clip(self.base + mean, -40, 40))))
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        known, split = self.known, [words_of(t) for t in texts]
+        new = set().union(*split) - known.keys()
+        self._learn(sorted(new))
+        means = np.array([sum(map(known.__getitem__, words)) / len(words) if words else 0.0 for words in split])
+        return 1 / (1 + np.exp(-np.clip(self.base + means, -40, 40)))
 
 
 def untrained(prior: float = 0.5) -> Model:
@@ -172,7 +203,9 @@ def toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(shared.value)
         for batch in batches:
-            p = np.array([own(t.as_py() or "") for t in batch.column(1)], float)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            found = [own(texts[at : at + SOME]) for at in range(0, len(texts), SOME)]
+            p = np.concatenate(found) if found else np.empty(0)
             yield pa.record_batch([batch.column(0), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     kind = dict(docs.dtypes)["doc_id"]
