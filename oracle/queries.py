@@ -6,7 +6,7 @@ from oracle.constants import (
     BLOCK_HEADERS, BRANDS_A, BRANDS_B_ONLY, COLUMNS, DEFAULT_JOURNEY, EXCLUDED_PAGES, INFLUENCE, JOURNEY_RULES, LETTER_POINTS, NO_REGISTRATION,
     NOISE_POINTS, SIZE_JOURNEY, SLOT_LAYOUT, TIERS,
 )
-from oracle import slots
+from oracle import rules, slots
 from oracle.inputs import SLOT_COLUMNS, query
 
 RUN_DATE = "DATE '2024-01-31'"
@@ -481,6 +481,14 @@ def oracle() -> dict[str, str]:
         f"""SELECT size_key, vehicle_key, {", ".join(f"max(id) FILTER (n = {i}) AS HB{i}" for i in (1, 2, 3))} FROM (SELECT DISTINCT size_key, vehicle_key FROM keyed)
         LEFT JOIN ({POOL}) USING (size_key, vehicle_key) GROUP BY 1, 2"""
     )
+    average = lambda c: exact("avg", c)
+    out["enhancer_similar"] = over_output(rules.SIMILAR, **rules.SIMILAR_STEPS)
+    out["cousin_vehicles"] = over_output(rules.COUSINS, **rules.COUSIN_STEPS)
+    out["cousin_products"] = over_output(rules.COUSIN_PRODUCTS, **rules.COUSIN_STEPS)
+    ranked_by, steps = rules.influence(average)
+    out["influence_ranks"] = over_output(ranked_by, **steps)
+    seats, steps = rules.quotas(slots.rows("false"), average)
+    out["grade_quotas"] = over_output(seats, "asked", wanted=wanted, **steps)
     out["parse_output"] = query(
         "SELECT Vehicle, Size, tier, parsed_vehicle, parsed_size, array_to_string(ids, ' ') AS ids FROM parsed", "raw", **PARSE_STEPS
     )

@@ -161,6 +161,17 @@ def segment_shares(rows: DataFrame) -> DataFrame:
     return fits.groupBy("Segment").agg(*[exact_avg(F.col(c)).alias(f"seg_{c}") for c in SHARES.values()])
 
 
+def settled_shares(df: DataFrame) -> DataFrame:
+    """``known``: whether the fit has shares of its own; those that lack them take their segment's, else the defaults."""
+    df = df.withColumn("known", F.coalesce(F.greatest(*SHARES.values()) > 0, F.lit(False)))
+    return df.withColumns(
+        {
+            name: F.when(F.col("known"), F.col(name)).otherwise(F.coalesce(F.col(f"seg_{name}"), F.lit(DEFAULT_SHARES[grade])))
+            for grade, name in SHARES.items()
+        }
+    )
+
+
 def _with(df: DataFrame, **expressions: str) -> DataFrame:
     return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
 
@@ -211,14 +222,7 @@ def scopes(requests: DataFrame, scored: DataFrame, rules: Rules) -> DataFrame:
         .join(fit_shares(rows), NARROW, "left")
         .join(segment_shares(every), "Segment", "left")
     )
-    shares = {
-        name: F.when(F.col("known"), F.col(name)).otherwise(
-            F.coalesce(F.col(f"seg_{name}"), F.lit(DEFAULT_SHARES[grade]))
-        )
-        for grade, name in SHARES.items()
-    }
-    df = df.withColumn("known", F.coalesce(F.greatest(*SHARES.values()) > 0, F.lit(False)))
-    df = df.withColumns(shares)
+    df = settled_shares(df)
     df = _with(
         df,
         own_list="coalesce(own_pool, size_pool)",

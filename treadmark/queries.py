@@ -10,7 +10,7 @@ from treadmark import schemas
 from treadmark.functions import lists, parsing, text
 from treadmark.operators.compare import row_drift
 from treadmark.operators.position import page
-from treadmark.plans import attribution, audit, cam_merge, candidates, clean, market, recommend, score, score_output, size_file, slots
+from treadmark.plans import attribution, audit, cam_merge, candidates, clean, likeness, market, recommend, score, score_output, size_file, slots, weighting
 from treadmark.session import durable, scratch_path
 from treadmark.sources import files, tables, testdata as td
 from treadmark.sources.events import base_events
@@ -248,6 +248,26 @@ def best_of_pool(spark: SparkSession, folder: str) -> DataFrame:
     return lists_.select(*candidates.NARROW, *[F.get(picked, F.lit(i)).alias(f"HB{i + 1}") for i in range(3)])
 
 
+def enhancer_similar(spark: SparkSession, folder: str) -> DataFrame:
+    return likeness.similar_product(_scored(spark, folder), "Michelin")
+
+
+def cousin_vehicles(spark: SparkSession, folder: str) -> DataFrame:
+    return likeness.cousin_vehicles(_scored(spark, folder))
+
+
+def cousin_products(spark: SparkSession, folder: str) -> DataFrame:
+    return likeness.cousin_products(_scored(spark, folder))
+
+
+def influence_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    return weighting.influence_ranks(_scored(spark, folder))
+
+
+def grade_quotas(spark: SparkSession, folder: str) -> DataFrame:
+    return weighting.grade_quotas(_requests(spark, folder), _scored(spark, folder))
+
+
 def parse_output(spark: SparkSession, folder: str) -> DataFrame:
     parsed = clean.parse_outputs(_raw(spark, folder))
     return parsed.select("Vehicle", "Size", "tier", "parsed_vehicle", "parsed_size", F.array_join("ids", " ").alias("ids"))
@@ -494,6 +514,8 @@ _JOBS = {
     "csv_round_trip": csv_round_trip, "golden_diff": golden_diff, "latest_stage": latest_stage, "recent_log": recent_log,
     "snapshot_latest": snapshot_latest, "json_log": json_log, "clean_headers": clean_headers, "report_lines": report_lines,
     "size_file_lines": size_file_lines, "runlist_first": runlist_first, "page_records": page_records, "contract_breaks": contract_breaks,
+    "enhancer_similar": enhancer_similar, "cousin_vehicles": cousin_vehicles, "cousin_products": cousin_products,
+    "influence_ranks": influence_ranks, "grade_quotas": grade_quotas,
     "error_lines": error_lines, "failure_codes": failure_codes, "segment_rows": segment_rows, "size_lookup": size_lookup,
 }
 
