@@ -485,6 +485,12 @@ def oracle() -> dict[str, str]:
     out["enhancer_similar"] = over_output(rules.SIMILAR, **rules.SIMILAR_STEPS)
     out["cousin_vehicles"] = over_output(rules.COUSINS, **rules.COUSIN_STEPS)
     out["cousin_products"] = over_output(rules.COUSIN_PRODUCTS, **rules.COUSIN_STEPS)
+    answered = f"SELECT Vehicle, Size, {size_key('Size')} AS size_key, {vehicle_key('Vehicle')} AS vehicle_key, {', '.join(SLOT_COLUMNS)} FROM ({told})"
+    michelin = slots.answers("lower(BRAND) = 'michelin'", True, average) | rules.context(rules.damaged(answered))
+    out["slot_breaks"] = over_output(rules.FOUND, "asked", wanted=wanted, **michelin)
+    out["slot_repair"] = over_output(rules.REPAIRED, "asked", wanted=wanted, **michelin, **rules.REPAIR_STEPS)
+    plainly = slots.answers("false", False, average) | rules.context(answered)
+    out["own_breaks"] = over_output(f"SELECT rule, count(*) AS count FROM ({rules.FOUND}) GROUP BY 1", "asked", wanted=wanted, **plainly)
     ranked_by, steps = rules.influence(average)
     out["influence_ranks"] = over_output(ranked_by, **steps)
     seats, steps = rules.quotas(slots.rows("false"), average)

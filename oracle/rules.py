@@ -121,3 +121,108 @@ def quotas(rows: str, mean, slots: int = 20) -> tuple[str, dict[str, str]]:
         shared(k, "taken", "have")
     cells = ", ".join(f"CAST(max({x}) FILTER (g = {i}) AS BIGINT) AS {x}_{g}" for x in ("quota", "have", "taken") for i, (g, _, _) in enumerate(GRADES))
     return f"SELECT size_key, vehicle_key, bool_or(known) AS known, {cells} FROM seats6 GROUP BY 1, 2", steps
+
+
+KEPT = [f"HB{i}" for i in range(1, 5)] + [f"SKU{i}" for i in range(1, 21)]
+
+
+def damaged(told: str) -> str:
+    """The answers of which five in six are spoiled."""
+    new = {
+        "HB1": "CASE kind WHEN 2 THEN '-' WHEN 3 THEN coalesce(cheap_id, HB1) WHEN 5 THEN HB4 ELSE HB1 END", "HB2": "CASE kind WHEN 1 THEN HB1 ELSE HB2 END",
+        "HB4": "CASE kind WHEN 4 THEN '99999999' WHEN 5 THEN HB1 WHEN 2 THEN '-' ELSE HB4 END", "SKU1": "CASE WHEN kind IN (1, 4) THEN SKU2 ELSE SKU1 END",
+    }
+    return f"""
+      SELECT Vehicle, Size, size_key, vehicle_key, {", ".join(f"{new.get(c, c)} AS {c}" for c in KEPT)}
+      FROM (SELECT *, (length(Vehicle) + 2 * length(Size) + coalesce(TRY_CAST(substr(Size, 1, 3) AS INTEGER), 0) // 10) % 6 AS kind FROM ({told}))
+        LEFT JOIN (SELECT size_key, min(id) AS cheap_id FROM feat WHERE grade = 'Budget' GROUP BY 1) USING (size_key)"""
+
+
+def context(answers: str) -> dict[str, str]:
+    """Steps that end in ``ctx``: answers with what is known of their boxes and fits."""
+    return {
+        "spoiled": answers,
+        "boxed": """
+      SELECT Vehicle, Size, list(struct_pack(pos := pos, id := t.id, there := f.id IS NOT NULL, grade := grade, a := a, b := b, runflat := runflat, m := m, brand := brand) ORDER BY pos) AS boxes
+      FROM (SELECT Vehicle, Size, size_key, unnest([0, 1, 2, 3]) AS pos, unnest([HB1, HB2, HB3, HB4]) AS id FROM spoiled) t LEFT JOIN best_size f ON f.size_key = t.size_key AND f.id = t.id GROUP BY 1, 2""",
+        "middle": f"""
+      SELECT size_key, list(id ORDER BY price NULLS LAST, id) AS cheap FROM best_size JOIN (SELECT size_key, CAST(ProductId AS VARCHAR) AS id, min(PRICE) AS price FROM keyed WHERE {VALID} GROUP BY 1, 2) USING (size_key, id)
+      WHERE a AND grade = 'MidRange' GROUP BY 1""",
+        "ctx": f"""
+      SELECT Vehicle, Size, boxes, [HB1, HB2, HB3, HB4] AS ids_, [{", ".join(KEPT[4:])}] AS more_, coalesce(pool, []) AS pool, coalesce(own_ids, []) AS own_ids, coalesce(pool_b, []) AS pool_b, coalesce(popular, []) AS popular, gate, wanted_flats, PremiumShare, coalesce(cheap, []) AS cheap
+      FROM spoiled s JOIN boxed USING (Vehicle, Size) LEFT JOIN (SELECT size_key, vehicle_key, pool, own_ids, pool_b, popular, gate, wanted_flats, PremiumShare FROM lists) l
+        ON l.size_key = s.size_key AND l.vehicle_key = s.vehicle_key LEFT JOIN middle c ON c.size_key = s.size_key""",
+    }
+
+
+def _some(items: str, test: str) -> str:
+    return f"list_filter({items}, lambda x: {test})"
+
+
+def _top(items: str, test: str) -> str:
+    return f"({_some(items, test)}[1]).id"
+
+
+def _any(items: str, test: str) -> str:
+    return f"(len({_some(items, test)}) > 0)"
+
+
+FREE = "NOT list_contains(ids_, x.id)"
+BREAKS = {
+    "other_size": _top("boxes", "x.id <> '-' AND NOT x.there"),
+    "repeated": "nullif(array_to_string(list_filter(ids_, lambda x, i: x <> '-' AND list_contains(ids_[:i - 1], x) AND NOT list_contains(ids_[i + 1:], x)), ' '), '')",
+    "repeated_more": "(SELECT string_agg(id, ' ' ORDER BY pos) FROM (SELECT id, min(pos) AS pos FROM (SELECT unnest(more_) AS id, unnest(range(20)) AS pos) WHERE id <> '-' GROUP BY id HAVING count(*) > 1))",
+    "budget_too_high": _top("boxes", "x.pos < 3 AND x.grade = 'Budget'"),
+    "not_in_set_a": _top("boxes", "x.pos < 3 AND x.there AND NOT x.a AND coalesce(x.grade <> 'Budget', true)"),
+    "not_in_set_b": _top("boxes", "x.pos = 3 AND x.there AND NOT x.b"),
+    "too_many_budget": f"CASE WHEN len({_some('boxes', 'x.grade = $$Budget$$')}) > 1 THEN array_to_string(list_transform({_some('boxes', 'x.grade = $$Budget$$')}, lambda x: x.id), ' ') END",
+    "budget_behind_gate": f"CASE WHEN NOT gate THEN {_top('boxes', 'x.pos = 3 AND x.grade = $$Budget$$')} END",
+    "gate_without_budget": f"CASE WHEN gate AND NOT {_any('boxes', 'x.grade = $$Budget$$')} THEN {_top('pool_b', f'x.grade = $$Budget$$ AND {FREE}')} END",
+    "empty_high_box": f"CASE WHEN list_contains(ids_[:3], '-') THEN {_top('pool', f'x.a AND {FREE}')} END",
+    "empty_box_four": f"CASE WHEN ids_[4] = '-' THEN {_top('pool_b', f'{FREE} AND (gate OR x.grade <> $$Budget$$)')} END",
+    "top_seller_missing": "CASE WHEN NOT list_contains(list_concat(ids_, more_), (popular[1]).id) THEN (popular[1]).id END",
+    "named_brand_missing": f"CASE WHEN PremiumShare >= 25 AND NOT {_any('boxes', 'x.brand = $$michelin$$')} THEN {_top('popular[:5]', 'x.brand = $$michelin$$ AND x.a')} END",
+    "runflats_short": f"CASE WHEN len({_some('boxes', 'x.pos < 3 AND x.runflat')}) < wanted_flats AND "
+    + _any("boxes", "x.pos < 3 AND NOT coalesce(x.runflat, false) AND NOT coalesce(x.id = (popular[1]).id, false) AND NOT coalesce(x.brand = $$michelin$$, false) AND NOT coalesce(x.m, false)")
+    + f" THEN {_top('pool', f'x.a AND x.runflat AND {FREE}')} END",
+    "enhancer_missing": f"CASE WHEN NOT {_any('boxes', 'x.m')} AND NOT {_any('pool', 'x.m AND list_contains(more_, x.id)')} THEN {_top('pool', 'x.m')} END",
+    "other_vehicle": f"CASE WHEN {_any('pool', f'x.a AND list_contains(own_ids, x.id) AND {FREE}')} THEN "
+    + _top("boxes", "x.pos < 3 AND x.there AND x.a AND NOT x.runflat AND NOT x.m AND NOT list_contains(own_ids, x.id)") + " END",
+    "short_of_more": f"CASE WHEN list_contains(more_, '-') THEN {_top('pool', f'{FREE} AND NOT list_contains(more_, x.id)')} END",
+}
+FOUND = "SELECT Vehicle, Size, rule, evidence FROM (" + " UNION ALL ".join(f"SELECT Vehicle, Size, '{n}' AS rule, {e} AS evidence FROM ctx" for n, e in BREAKS.items()) + ") WHERE evidence IS NOT NULL"
+
+NOT_HIGH = "NOT coalesce(list_contains(high, x.id), false)"
+REPAIR_STEPS = {
+    "r1": """
+      SELECT *, list_transform(boxes, lambda x: CASE WHEN x.id = '-' THEN 'empty' WHEN NOT x.there THEN 'other_size' WHEN list_contains(ids_[:x.pos], x.id) THEN 'repeated'
+        WHEN x.pos < 3 AND x.grade = 'Budget' THEN 'budget_too_high' WHEN x.pos < 3 AND NOT x.a THEN 'not_in_set_a' WHEN x.pos = 3 AND NOT x.b THEN 'not_in_set_b'
+        WHEN x.pos = 3 AND x.grade = 'Budget' AND NOT gate THEN 'budget_behind_gate' END) AS bad FROM ctx""",
+    "r2": f"""
+      SELECT *, list_transform(boxes[:3], lambda x: CASE WHEN bad[x.pos + 1] IS NULL THEN x.id END) AS high, CASE WHEN bad[4] IS NULL THEN (boxes[4]).id END AS last_,
+        bad[4] IS NULL AND coalesce((boxes[4]).grade = 'Budget', false) AS last_budget, {_some("boxes", "bad[x.pos + 1] = 'budget_too_high'")}[1] AS moved FROM r1""",
+    "r3": f"SELECT *, {_some('pool_b', NOT_HIGH)} AS open_ FROM r2",
+    "r4": f"""
+      SELECT *, CASE WHEN last_budget THEN last_ WHEN gate AND coalesce(moved.b, false) THEN moved.id
+        WHEN gate THEN coalesce({_top("open_", "x.grade = 'Budget'")}, last_) ELSE last_ END AS four FROM r3""",
+    "r5": """
+      SELECT *, CASE WHEN moved.id IS NOT NULL AND NOT coalesce(moved.id = four, false) THEN list_filter(cheap, lambda x: NOT coalesce(list_contains(high, x), false) AND NOT coalesce(x = four, false))[:1] ELSE [] END AS swap FROM r4""",
+    "r6": f"SELECT *, list_concat(swap, list_filter(list_transform({_some('pool', f'x.a AND {NOT_HIGH} AND NOT coalesce(x.id = four, false)')}, lambda x: x.id), lambda y: NOT list_contains(swap, y))) AS spare FROM r5",
+    "r7": "SELECT * REPLACE (list_transform(high, lambda x, i: coalesce(x, spare[1 + len(list_filter(high[:i - 1], lambda y: y IS NULL))])) AS high) FROM r6",
+    "r7b": f"SELECT * REPLACE (coalesce(four, {_top('pool_b', f'x.grade <> $$Budget$$ AND {NOT_HIGH}')}) AS four) FROM r7",
+    "r8": f"""
+      SELECT *, {_any("pool", "x.m AND (coalesce(list_contains(high, x.id), false) OR coalesce(x.id = four, false))")} AS held,
+        {_top("pool_b", f"x.m AND gate = (x.grade = 'Budget') AND {NOT_HIGH}")} AS wish_, {_top("pool", "x.m")} AS best_ FROM r7b""",
+    "r9": """
+      SELECT *, CASE WHEN NOT held AND wish_ IS NULL AND best_ IS NOT NULL THEN [best_] ELSE [] END AS front,
+        list_transform(list_append(high, CASE WHEN NOT held AND wish_ IS NOT NULL THEN wish_ ELSE four END), lambda x: coalesce(x, '-')) AS now_ FROM r8""",
+    "r10": """
+      SELECT * REPLACE (CASE WHEN (popular[1]).id IS NULL OR list_contains(list_concat(now_, list_concat(more_, front)), (popular[1]).id) THEN front ELSE list_append(front, (popular[1]).id) END AS front),
+        list_transform(list_filter(boxes, lambda x: x.there AND NOT list_contains(now_, x.id)), lambda x: x.id) AS lost FROM r9""",
+    "r11": "SELECT *, list_filter(list_concat(list_concat(front, lost), list_concat(more_, list_transform(pool, lambda x: x.id))), lambda x: x <> '-' AND NOT list_contains(now_, x)) AS rest_ FROM r10",
+    "r12": "SELECT *, list_concat(now_, list_concat(list_filter(rest_, lambda x, i: list_position(rest_, x) = i), list_transform(range(20), lambda x: '-'))) AS slots_ FROM r11",
+}
+REPAIRED = f"""
+    SELECT Vehicle, Size, {", ".join(f"slots_[{i}] AS {c}" for i, c in enumerate(KEPT, 1))},
+      array_to_string(list_concat(list_transform(list_filter(range(1, 5), lambda i: ids_[i] <> now_[i]), lambda i: 'HB' || i || ' ' || coalesce(bad[i], 'moved') || ': ' || ids_[i] || ' > ' || now_[i]),
+        list_transform(list_filter(front, lambda x: more_[1] <> x), lambda x: 'SKU ' || x)), '; ') AS steps FROM r12"""

@@ -117,7 +117,8 @@ def answers(match: str, enhanced: bool, mean, makes=("bmw", "mercedes", "mini"))
         has_brand=f"len({kept('pool', 'x.brand = $$michelin$$ AND (list_contains(hot, x.id) OR coalesce(x.id = box4, false))')}) > 0",
         seller=first("popular[1:5]", "x.brand = 'michelin' AND x.a"),
     )
-    step(named="CASE WHEN PremiumShare >= 25 AND NOT has_brand THEN seller END")
+    stays = first("pool", "x.brand = 'michelin' AND list_contains(hot, x.id)")
+    step(named=f"CASE WHEN PremiumShare < 25 OR PremiumShare IS NULL OR seller IS NULL THEN NULL WHEN has_brand THEN {stays} ELSE seller END")
     displace("named")
     step(
         wanted_flats=f"CASE WHEN NOT known AND ({' OR '.join(f'starts_with(vehicle_key, $${m}$$)' for m in makes)}) THEN 3 WHEN NOT known THEN 0 WHEN runflat_share >= 85 THEN 3 WHEN runflat_share >= 55 THEN 2 WHEN runflat_share >= 20 THEN 1 ELSE 0 END",
@@ -146,5 +147,6 @@ def answers(match: str, enhanced: bool, mean, makes=("bmw", "mercedes", "mini"))
     step(more="list_filter(more, lambda x, i: list_position(more, x) = i)")
     dashes = "[" + ", ".join(["'-'"] * 20) + "]"
     step(slots=f"list_concat(list_transform(boxes, lambda x: coalesce(x, '-')), list_concat(more, {dashes})[1:20])")
+    steps["lists"] = f"SELECT * FROM at{count}"
     steps["chosen_slots"] = f"SELECT size_key, vehicle_key, slots FROM at{count}"
     return steps

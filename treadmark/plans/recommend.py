@@ -295,7 +295,9 @@ def select_slots(fits: DataFrame, rules: Rules) -> DataFrame:
     )
     df = _with(
         df,
-        named=f"CASE WHEN PremiumShare >= {rules.named_share} AND NOT has_brand THEN seller END",
+        # one that has a box already keeps it: this rule comes before the run-flats
+        named=f"CASE WHEN PremiumShare >= {rules.named_share} AND seller IS NOT NULL THEN CASE WHEN has_brand "
+        f"THEN get(filter(pool, x -> x.brand = '{brand}' AND array_contains(hot, x.id)), 0).id ELSE seller END END",
     )
     df = _displace(df, "named")
     # Run-flats: so many as the share asks for, the top seller among them.

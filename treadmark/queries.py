@@ -10,7 +10,7 @@ from treadmark import schemas
 from treadmark.functions import lists, parsing, text
 from treadmark.operators.compare import row_drift
 from treadmark.operators.position import page
-from treadmark.plans import attribution, audit, cam_merge, candidates, clean, likeness, market, recommend, score, score_output, size_file, slots, weighting
+from treadmark.plans import attribution, audit, cam_merge, candidates, clean, likeness, market, recommend, repair, score, score_output, size_file, slots, weighting
 from treadmark.session import durable, scratch_path
 from treadmark.sources import files, tables, testdata as td
 from treadmark.sources.events import base_events
@@ -248,6 +248,44 @@ def best_of_pool(spark: SparkSession, folder: str) -> DataFrame:
     return lists_.select(*candidates.NARROW, *[F.get(picked, F.lit(i)).alias(f"HB{i + 1}") for i in range(3)])
 
 
+def _damaged(spark: SparkSession, folder: str, asked: DataFrame, scored: DataFrame, rules: recommend.Rules) -> DataFrame:
+    """Answers of which five in six are spoiled, each kind in its own way."""
+    told = recommend.recommend(asked, scored, rules)
+    budget = recommend.features(scored, rules).where("grade = 'Budget'").groupBy("size_key").agg(F.min("id").alias("cheap_id"))
+    rows = candidates.keyed_requests(told).join(budget, "size_key", "left")
+    kind = (F.length("Vehicle") + 2 * F.length("Size") + F.floor(F.coalesce(F.substring("Size", 1, 3).try_cast("int"), F.lit(0)) / 10)) % 6
+    new = {
+        "HB1": F.when(kind == 2, "-").when(kind == 3, F.coalesce("cheap_id", "HB1")).when(kind == 5, F.col("HB4")).otherwise(F.col("HB1")),
+        "HB2": F.when(kind == 1, F.col("HB1")).otherwise(F.col("HB2")),
+        "HB4": F.when(kind == 4, "99999999").when(kind == 5, F.col("HB1")).when(kind == 2, "-").otherwise(F.col("HB4")),
+        "SKU1": F.when(kind.isin(1, 4), F.col("SKU2")).otherwise(F.col("SKU1")),
+    }
+    return durable(rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in told.columns)), "damaged")
+
+
+def _context(spark: SparkSession, folder: str, rules: recommend.Rules) -> DataFrame:
+    scored, asked = _scored(spark, folder), _requests(spark, folder)
+    return repair.in_context(_damaged(spark, folder, asked, scored, rules), asked, scored, rules)
+
+
+def slot_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every broken rule of spoiled answers, with its evidence."""
+    return repair.breaks(_context(spark, folder, recommend.Rules(brand="Michelin")))
+
+
+def own_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken rules of the answers as they are chosen: none."""
+    scored, asked = _scored(spark, folder), _requests(spark, folder)
+    answers = durable(recommend.recommend(asked, scored), "answers")
+    return repair.breaks(repair.in_context(answers, asked, scored)).groupBy("rule").count()
+
+
+def slot_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Spoiled answers, mended, with the steps taken."""
+    rules = recommend.Rules(brand="Michelin")
+    return repair.repaired(_context(spark, folder, rules), rules)
+
+
 def enhancer_similar(spark: SparkSession, folder: str) -> DataFrame:
     return likeness.similar_product(_scored(spark, folder), "Michelin")
 
@@ -515,7 +553,7 @@ _JOBS = {
     "snapshot_latest": snapshot_latest, "json_log": json_log, "clean_headers": clean_headers, "report_lines": report_lines,
     "size_file_lines": size_file_lines, "runlist_first": runlist_first, "page_records": page_records, "contract_breaks": contract_breaks,
     "enhancer_similar": enhancer_similar, "cousin_vehicles": cousin_vehicles, "cousin_products": cousin_products,
-    "influence_ranks": influence_ranks, "grade_quotas": grade_quotas,
+    "influence_ranks": influence_ranks, "grade_quotas": grade_quotas, "slot_breaks": slot_breaks, "own_breaks": own_breaks, "slot_repair": slot_repair,
     "error_lines": error_lines, "failure_codes": failure_codes, "segment_rows": segment_rows, "size_lookup": size_lookup,
 }
 
