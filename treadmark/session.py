@@ -81,6 +81,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared one that goes when the program ends, or with ``clear_staged``."""
+    path = scratch_path(spark, name)
+    _staged.append((spark, path))
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` written once to the shared folder and read back from there.
 
@@ -90,14 +103,13 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     if plan_listener:
         plan_listener(df._jdf.queryExecution().executedPlan().toString())
-    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    path, conf = staged_path(df.sparkSession, name), df.sparkSession.conf
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")  # nothing reads the shuffle files of a written table again
     try:
         df.write.parquet(path)
     finally:
         conf.set(CLEANUP, before)
-    _staged.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -107,7 +119,6 @@ def clear_staged() -> None:
     while _staged:
         spark, path = _staged.pop()
         try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            drop_path(spark, path)
         except Exception:  # the session has ended: its temporary folder or the folder's owner cleans up
             _staged.clear()
