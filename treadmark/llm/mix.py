@@ -179,14 +179,13 @@ def pareto_mix(
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; documents that it leaves out go."""
     taken = pareto_mix(docs, weights, cap, seed, text).filter("copies > 0")
-    often = taken.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies")).withColumnsRenamed(
-        {"doc_id": "_id", "source": "_source", "size": "_of"}
-    )
+    often = taken.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    # The row travels as one value, so no column of it meets a name of ours.
     size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_of"))
-    found = docs.withColumn("_size", size).join(often, same)
-    again = found.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return again.select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.col("source").alias("own_source"), size.alias("own_size"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_size") == F.col("size"))
+    again = rows.join(often, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return again.select("row.*")
 
 
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +193,7 @@ def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
  d AS (SELECT *, length(bin(size)) AS a,
          (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM sized),
@@ -217,9 +216,12 @@ WITH sized AS (
  q AS (SELECT d.*, n.ss, n.target, n.whole, n.need,
          CASE WHEN part > 0 AND size > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds
        FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source AND d.a = n.a),
- c AS (SELECT *, odds / (1 + odds) AS place, sum(CASE WHEN odds IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source
-         ORDER BY odds / (1 + odds) NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS so_far FROM q),
- k AS (SELECT *, odds IS NOT NULL AND so_far <= need AS drawn FROM c),
+ c AS MATERIALIZED (SELECT *, odds / (1 + odds) AS place, dense_rank() OVER (ORDER BY source NULLS LAST) AS sid,
+         row_number() OVER (PARTITION BY source ORDER BY odds / (1 + odds) NULLS LAST, doc_id, size) AS step FROM q),
+ w AS (SELECT DISTINCT sid, 0::BIGINT AS step, 0::BIGINT AS filled, false AS drawn FROM c
+       UNION ALL SELECT c.sid, c.step, CASE WHEN filled + size <= need THEN filled + size ELSE filled END, filled + size <= need
+       FROM w JOIN c ON c.sid = w.sid AND c.step = w.step + 1 WHERE odds IS NOT NULL),
+ k AS (SELECT c.*, coalesce(w.drawn, false) AS drawn FROM c LEFT JOIN w ON w.sid = c.sid AND w.step = c.step),
  x AS (SELECT *, need - (sum(CASE WHEN drawn THEN size ELSE 0 END) OVER (PARTITION BY source))::DOUBLE AS gap FROM k),
  y AS (SELECT *, place IS NOT NULL AND NOT drawn AND abs(gap - size) < gap AS free FROM x),
  z AS (SELECT *, row_number() OVER (PARTITION BY source, free ORDER BY abs(gap - size), place, doc_id, size) = 1 AND free AS fills FROM y)
