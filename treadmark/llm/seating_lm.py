@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark.llm.common import LOWER_BYTES, fold, free, only, pack, rows_of, ship, shuffle_partitions, table, unpack
-from treadmark.session import durable, scratch_path
+from treadmark.session import durable, staged_path
 
 CONTEXTS = 256
 #: Sweeps before samples are kept, and sweeps whose predictive probabilities are averaged.
@@ -268,7 +268,7 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = only(docs, "doc_id", text).select(
         F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col(text).cast("string").alias("text")
     )
-    path = scratch_path(spark, "numbered")
+    path = staged_path(spark, "numbered")
     kinds = "chunk long, bucket int, sent binary, texts binary"
     rows.mapInArrow(cut, kinds).write.parquet(path)
     numbered = spark.read.schema(kinds).parquet(path)

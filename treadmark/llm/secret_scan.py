@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from treadmark.llm.common import only, table, text_of
-from treadmark.session import scratch_path
+from treadmark.session import drop_path, staged_path
 
 #: Marks around a match.  Texts that hold them get another control character in their place, which no rule matches.
 OPEN, CLOSE, OTHER = "\x01", "\x02", "\x03"
@@ -71,10 +71,13 @@ def _found(blobs: DataFrame, rule: Rule) -> DataFrame:
 
 
 class Ledger:
-    """Which blobs were scanned for which rule versions, and what was found, in a shared folder."""
+    """Which blobs were scanned for which rule versions, and what was found, in a shared folder.
+
+    Without a path of its own it lasts as long as the program.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path or scratch_path(spark, "blob-ledger")
+        self.spark, self.path = spark, path or staged_path(spark, "blob-ledger")
 
     def _read(self, name: str, schema: str) -> DataFrame:
         fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -101,18 +104,21 @@ class Ledger:
         # Copies are combined before they move, and the ledger meets the blobs where they then are: texts move once.
         ones = rows.groupBy("blob").agg(F.first("text").alias("text"))
         unseen = ones.join(seen, "blob", "left").filter(F.coalesce(F.size("done"), F.lit(0)) < len(rules))
-        blobs = scratch_path(self.spark, "unseen")
-        unseen.write.parquet(blobs)
-        stored = self.spark.read.schema(unseen.schema).parquet(blobs)
-        todo = F.coalesce(F.col("done"), F.array().cast("array<string>"))
-        found = None
-        for rule in rules:
-            own = _found(stored.filter(~F.array_contains(todo, rule.kind)), rule)
-            found = own if found is None else found.unionByName(own)
-        found.write.mode("append").parquet(f"{self.path}/findings")
-        names = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
-        new = stored.select("blob", F.explode(F.filter(names, lambda r: ~F.array_contains(todo, r["kind"]))).alias("r"))
-        new.select("blob", "r.kind", "r.version").write.mode("append").parquet(f"{self.path}/scanned")
+        blobs = staged_path(self.spark, "unseen")
+        try:
+            unseen.write.parquet(blobs)
+            stored = self.spark.read.schema(unseen.schema).parquet(blobs)
+            todo = F.coalesce(F.col("done"), F.array().cast("array<string>"))
+            found = None
+            for rule in rules:
+                own = _found(stored.filter(~F.array_contains(todo, rule.kind)), rule)
+                found = own if found is None else found.unionByName(own)
+            found.write.mode("append").parquet(f"{self.path}/findings")
+            names = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
+            new = stored.select("blob", F.explode(F.filter(names, lambda r: ~F.array_contains(todo, r["kind"]))).alias("r"))
+            new.select("blob", "r.kind", "r.version").write.mode("append").parquet(f"{self.path}/scanned")
+        finally:
+            drop_path(self.spark, blobs)  # the texts in the clear
 
     def by_blob(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """blob and spans: an array of (start, place of the kind in ``rules``, kind, end), sorted."""
@@ -130,11 +136,12 @@ def secrets(versions: DataFrame, ledger: Ledger | None = None, rules: tuple[Rule
     """
     ledger = ledger or Ledger(versions.sparkSession)
     ledger.scan(versions, rules, text)
-    found = ledger.by_blob(rules).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
-    keyed = versions.drop(to).withColumn("_key", F.sha2(text_of(text).cast("binary"), 256))
-    rows = keyed.join(found, F.col("_key") == F.col("_blob"), "left").drop("_blob", "_key")
-    none = F.array().cast(dict(found.dtypes)["_spans"])
-    return rows.withColumn(to, F.coalesce("_spans", none)).drop("_spans")
+    found = ledger.by_blob(rules)
+    # The row travels as one value, so no column of it meets a name of ours.
+    kept = [c for c in versions.columns if c != to]
+    rows = versions.select(F.struct(*kept).alias("row"), F.sha2(text_of(text).cast("binary"), 256).alias("blob")).join(found, "blob", "left")
+    none = F.array().cast(dict(found.dtypes)["spans"])
+    return rows.select("row.*", F.coalesce("spans", none).alias(to))
 
 
 def joined(spans: Column) -> Column:
