@@ -4,6 +4,9 @@ Quality first (documents that the network rejects go), then one document of each
 are masked in the texts, then sources are mixed to their target weights (documents are repeated or left out), and the
 mix is coded as pieces.  The network, the groups and the seatings of the sample have no SQL; the stages are tested
 against plain Python in ``tests/llm/test_pipeline.py``.
+
+Nulls, empty texts and repeated rows are as the stages' operators say; columns beyond those of ``documents`` are kept as
+they are, whatever their names, up to the last stage.  Without documents there are no pieces.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark.llm import jaccard_join, mix, quality_net, secret_scan, sentence_pieces
+from treadmark.llm.common import fresh
 from treadmark.session import durable
 
 
@@ -28,9 +32,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked."""
-    found = secret_scan.secrets(docs, to="_secrets")
-    hit = F.size("_secrets") > 0
-    text = F.when(hit, secret_scan.masked(F.col("text"), F.col("_secrets"))).otherwise(F.col("text"))
+    spans = fresh("secrets")
+    found = secret_scan.secrets(docs, to=spans)
+    hit = F.size(F.col(f"`{spans}`")) > 0
+    text = F.when(hit, secret_scan.masked(F.col("text"), F.col(f"`{spans}`"))).otherwise(F.col("text"))
     out = found.withColumn("text", text).withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 

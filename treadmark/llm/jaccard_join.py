@@ -6,7 +6,7 @@ any link needs is done.  What is left is multiplied with itself only where it ca
 it shares one of each document's rarest shingles, so many that a pair without one stays below the bound, and if the sizes
 allow it; its overlap is then counted over all shingles.
 
-Shingles are compared by 56 bits of their hashes or more.
+Shingles are compared by 48 bits of their hashes and the bucket that the top 16 bits choose: 54 bits with the least number of buckets, 64.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from treadmark.session import durable
 
 WIDTH, PERCENT = 5, 75
 #: A chunk of documents ends after so many shingles or documents.
-CHUNK_SHINGLES, CHUNK_DOCS = 1_500_000, 60_000
-MEMORY = 300_000
+CHUNK_SHINGLES, CHUNK_DOCS = 750_000, 60_000
+MEMORY = 100_000
 STAR_ROUNDS = 2
 
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
@@ -120,6 +120,9 @@ def shared_shingles(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                 doc_ids, sets, held, part = [], [], 0, part + 1
         if sets:
             yield from _send(base + part, doc_ids, sets, buckets)
+        # the worker outlives its task: give back what it held
+        shingler.known.clear()
+        pa.default_memory_pool().release_unused()
 
     def meet(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
@@ -282,11 +285,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, tex
     Rows without doc_id stay: nothing tells which of them is meant.
     """
     found = jaccard_join(docs, width, percent, text)
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    order = W.partitionBy("doc_id").orderBy(F.col(text).asc_nulls_last())
-    named = docs.filter("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_first"), "left_semi")
-    named = named.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
-    return named.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    # The row travels as one value, so no column of it meets a name of ours.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col(text).alias("text"))
+    order = W.partitionBy("id").orderBy(F.col("text").asc_nulls_last())
+    named = rows.filter("id IS NOT NULL").join(first, "id", "left_semi").withColumn("place", F.row_number().over(order)).filter("place = 1")
+    return named.union(rows.filter("id IS NULL").withColumn("place", F.lit(1)).select(named.columns)).select("row.*")
 
 
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
