@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -454,13 +455,67 @@ def test_trust_and_distrust_follow_links(spark):
 
 
 def test_hubs_give_their_whole_mass(spark):
-    hosts = spark.range(1_200_000).select(F.lit("block").alias("kind"), F.lit("net").alias("src"), F.concat(F.col("id"), F.lit(".net")).alias("dst"), F.lit(1).cast("long").alias("weight"))
-    edges = hosts.union(hosts.select("kind", "dst", "src", "weight"))
-    seeds = spark.createDataFrame([("block", "7.net", url_filter.MASS)], "kind string, host string, mass long")
+    hosts = spark.range(1_200_000).select(F.lit("net").alias("src"), F.concat(F.col("id"), F.lit(".net")).alias("dst"), F.lit(1).cast("long").alias("weight"))
+    edges = hosts.union(hosts.select("dst", "src", "weight"))
+    seeds = spark.createDataFrame([("7.net", 0, url_filter.MASS)], "host string, allow long, block long")
     found = url_filter.propagate(edges, seeds, 2)
-    assert found.filter("host = '8.net'").first()["mass"] > 0
-    total = found.agg(F.sum("mass")).first()[0]
-    assert 0.999 * url_filter.MASS < total <= url_filter.MASS
+    assert found.filter("host = '8.net'").first()["block"] > 0
+    total = found.agg(F.sum("block"), F.sum("allow")).first()
+    assert 0.999 * url_filter.MASS < total[0] <= url_filter.MASS and total[1] == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_masses_like_plain_python(spark, seed):
+    """Random graphs with hubs, islands and sinks, against rounds over dictionaries."""
+    rng = random.Random(seed)
+    names = [f"h{i}" for i in range(40)]
+    edges = {(a, b): rng.randrange(1, 9) for a, b in ((rng.choice(names), rng.choice(names[: 10 if rng.random() < 0.5 else 40])) for _ in range(120)) if a != b}
+    seeds = {n: (rng.choice([0, url_filter.MASS // 7]), rng.choice([0, url_filter.MASS // 5])) for n in rng.sample(names, 9)}
+    for rounds in (1, 5, 9):
+        want = []
+        for k in (0, 1):
+            way = {(a, b) if k == 0 else (b, a): w for (a, b), w in edges.items()}
+            total = collections.Counter()
+            for (a, _), w in way.items():
+                total[a] += w
+            at = {n: m[k] for n, m in seeds.items()}
+            for _ in range(rounds):
+                new = collections.Counter({n: m[k] * 15 // 100 for n, m in seeds.items()})
+                for (a, b), w in way.items():
+                    new[b] += (at.get(a, 0) * 85 // 100) * w // total[a]
+                at = new
+            want.append({n: m for n, m in at.items() if m})
+        df = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src string, dst string, weight long")
+        start = spark.createDataFrame([(n, *m) for n, m in seeds.items()], "host string, allow long, block long")
+        got = url_filter.propagate(df, start, rounds).collect()
+        assert [{r["host"]: r[k] for r in got if r[k]} for k in ("allow", "block")] == want
+
+
+def graph_pages(spark, kind):
+    link = lambda to: f'<a href="{to}">x</a>'
+    if kind == "chain":
+        rows = [(0, "http://bad.net/es/", None), (1, "http://h1.t1/", link("http://bad.net/"))] + [(i, f"http://h{i}.t{i}/", link(f"//H{i - 1}.t{i - 1}/x")) for i in range(2, 21)]
+    elif kind == "hub":
+        rows = [(i, f"http://s{i}.net/{'es' if i % 7 == 0 else 'x'}/", link(f"http://s{i * 5 % 60}.net") + link("//hub.org/a?b")) for i in range(60)] + [(99, "http://hub.org/", link("https://t.com"))]
+    else:
+        rng = random.Random(4)
+        host = lambda: rng.choice(["a.com", "b.com", "x.net", "y.net", "z.net", "p.org", "q.io", "w.example.com", "sub.x.net"])
+        rows = [(i, rng.choice([f"http://{host()}/{rng.choice(['es', 'en', 'fr', ''])}/", None, "none"]), rng.choice([None, "", "".join(link(rng.choice(["//", "http://", "/to/"]) + host()) for _ in range(4))])) for i in range(80)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+@pytest.mark.parametrize("kind", ["chain", "hub", "random"])
+def test_filter_sql_says_the_same(spark, kind):
+    pages = graph_pages(spark, kind)
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    got, want = url_filter.url_filter(pages).collect(), con.execute(url_filter.ORACLE).fetchall()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+    assert kind != "chain" or {r["verdict"] for r in got} == {"block"}
+
+
+def test_filter_of_no_pages(spark):
+    assert url_filter.url_filter(graph_pages(spark, "hub").limit(0)).count() == 0
 
 
 def test_distrust_reaches_far_hosts(spark):

@@ -6,17 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from treadmark.llm.common import LOWER, UPPER, only, table
+from treadmark.llm.common import LOWER, UPPER, free, only, table
 from treadmark.session import durable
 
 #: All seeds of one kind together hold so much; whole numbers, so sums do not depend on their order.
 MASS = 10**18
 #: Of a hundred parts, those that follow links; the others return to the seeds.
 FOLLOW = 85
-#: Rounds of the SQL.  The operator goes on until the masses settle.
-ROUNDS = 6
 #: Masses are compared after so many rounds, and have settled when all changes since then add up to less than a millionth of MASS.
-STEP = 8
+STEP = 4
 SETTLED = MASS // 10**6
 
 
@@ -74,7 +72,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, follow: int = FOLLOW) -> DataFrame:
-    """kind, host, mass: personalised PageRank of each kind's seeds (kind, host, mass) over its edges (kind, src, dst, weight).
+    """host, allow, block: personalised PageRank of the seeds (host, allow, block) over the edges (src, dst, weight); allow
+    follows the edges, block runs against them.
 
     It takes ``rounds`` rounds, or without them as many as it needs: until a step of STEP rounds reaches no further host
     and changes less than SETTLED in all.  Only these two numbers go to the driver.
@@ -82,24 +81,40 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, fol
     A host gives ``follow`` hundredths of its mass to its edges by weight; the rest comes from the seeds in every round.
     Each edge's part is divided out of the mass itself, so a hub's edges keep theirs at any degree.  Mass of hosts
     without edges is lost, as is what whole-number division leaves: less than one of MASS for an edge.
+
+    Both masses are columns of one row, and an edge is a row at either of its ends, with the weight that it has for each
+    mass, so a round is one join and one sum.  The edges are written once; a plan holds STEP rounds and starts from files.
     """
-    total = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
-    shared = durable(edges.join(total, ["kind", "src"]).select("kind", "src", "dst", "weight", "total"), "host-edges")
-    part = F.expr("CAST(mass AS DECIMAL(19)) * CAST(weight AS DECIMAL(18)) div total").alias("mass")
-    back = seeds.select("kind", "host", F.expr(f"CAST(mass AS DECIMAL(19)) * {100 - follow} div 100").alias("mass"))
+    spark = edges.sparkSession
+    zero = F.lit(0).cast("long")
+    ways = edges.select("src", "dst", F.col("weight").alias("w_allow"), zero.alias("w_block")).union(
+        edges.select("dst", "src", zero, "weight")
+    )
+    ways = ways.groupBy("src", "dst").agg(F.sum("w_allow").alias("w_allow"), F.sum("w_block").alias("w_block"))
+    total = ways.groupBy("src").agg(F.sum("w_allow").alias("t_allow"), F.sum("w_block").alias("t_block"))
+    shared = durable(ways.join(total, "src"), "host-edges")
+    kinds = ("allow", "block")
+    part = [F.expr(f"coalesce(CAST({k} AS DECIMAL(19)) * CAST(w_{k} AS DECIMAL(18)) div nullif(t_{k}, 0), 0L)").alias(k) for k in kinds]
+    back = durable(seeds.select("host", *(F.expr(f"CAST(CAST({k} AS DECIMAL(19)) * {100 - follow} div 100 AS BIGINT)").alias(k) for k in kinds)), "back")
     at, k = seeds, 0
     while rounds is None or k < rounds:
         was = at
         for _ in range(STEP if rounds is None else min(STEP, rounds - k)):
-            left = at.select("kind", F.col("host").alias("src"), F.expr(f"CAST(mass AS DECIMAL(19)) * {follow} div 100").alias("mass"))
-            given = left.join(shared, ["kind", "src"]).select("kind", F.col("dst").alias("host"), part)
-            at = given.union(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass")).filter("mass > 0")
+            left = at.select(F.col("host").alias("src"), *(F.expr(f"CAST({k_} AS DECIMAL(19)) * {follow} div 100").alias(k_) for k_ in kinds))
+            given = left.join(shared, "src").select(F.col("dst").alias("host"), *part)
+            at = given.union(back).groupBy("host").agg(*(F.sum(k_).alias(k_) for k_ in kinds)).filter("allow > 0 OR block > 0")
             k += 1
-        at = durable(at, "mass")  # keeps the plan short
+        at = durable(at, "mass")
         if rounds is None:
-            both = at.select("kind", "host", "mass", F.lit(0).alias("old")).union(was.select("kind", "host", -F.col("mass"), F.lit(1)))
-            moved = both.groupBy("kind", "host").agg(F.sum("mass").alias("d"), F.max("old").alias("old"))
-            change, further = moved.agg(F.sum(F.abs("d").cast("decimal(20)")), F.count(F.when(F.col("old") == 0, 1))).first()
+            signed = at.select("host", "allow", "block", F.lit(1).alias("now")).union(was.select("host", -F.col("allow"), -F.col("block"), F.lit(0)))
+            moved = signed.groupBy("host").agg(
+                *(F.sum(k_).alias(k_) for k_ in kinds), *(F.max(F.when((F.col("now") == 0) & (F.col(k_) < 0), 1).otherwise(0)).alias(f"old_{k_}") for k_ in kinds)
+            )
+            change, further = moved.agg(
+                F.sum(F.abs("allow").cast("decimal(20)") + F.abs("block").cast("decimal(20)")),
+                F.count_if(((F.col("allow") > 0) & (F.col("old_allow") == 0)) | ((F.col("block") > 0) & (F.col("old_block") == 0))),
+            ).first()
+            free(spark)
             if not further and (change or 0) < SETTLED:
                 break
     return at
@@ -120,17 +135,13 @@ def url_filter(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int
     split = cols.select("page_id", host.alias("host"), path.alias("path"), "html")
     judged = split.select("page_id", "host", "path", judged_by_rule(F.col("host"), F.col("path"), rules).alias("r"))
     judged = durable(judged, "judged")
-    by_host = judged.filter("r IS NOT NULL AND host <> ''").groupBy("host", F.col("r.verdict").alias("kind")).agg(F.count("*").alias("n"))
-    by_host = durable(by_host, "seeds")
-    total = by_host.groupBy("kind").agg(F.sum("n").alias("total"))
-    seeds = by_host.join(total, "kind").select("kind", "host", F.expr(f"CAST(CAST(n AS DECIMAL(20)) * {MASS} div total AS BIGINT)").alias("mass"))
+    ruled = judged.filter("r IS NOT NULL AND host <> ''")
+    by_host = durable(ruled.groupBy("host").agg(*(F.count_if(F.col("r.verdict") == k).alias(k) for k in ("allow", "block"))), "seeds")
+    total = by_host.agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
+    mass = lambda k: F.expr(f"CAST(CAST({k} AS DECIMAL(20)) * {MASS} div {max(total[k] or 0, 1)} AS BIGINT)").alias(k)
+    seeds = durable(by_host.select("host", mass("allow"), mass("block")), "seed-masses")
     edges = durable(host_edges(split.select("host", "html")), "edges")
-    kinds = edges.select(F.lit("allow").alias("kind"), "src", "dst", "weight").union(
-        edges.select(F.lit("block"), F.col("dst"), F.col("src"), F.col("weight"))
-    )
-    mass = propagate(kinds, durable(seeds, "seeds"), rounds)
-    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0))
-    bad = mass.groupBy("host").agg((of("block") > of("allow")).alias("bad")).filter("bad")
+    bad = propagate(edges, seeds, rounds).filter("block > allow").select("host", F.lit(True).alias("bad"))
     verdict = F.coalesce("r.verdict", F.when(F.col("bad"), "block").otherwise("allow"))
     return judged.join(bad, "host", "left").select("page_id", "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"))
 
@@ -147,32 +158,36 @@ def _oracle() -> str:
             ("allow", "www.example.com", "/en/"), ("block", "example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"), ("allow", "com", "/"),
         )
     )
-    parts = [f"""
-WITH p AS (SELECT page_id, {lower.format("regexp_extract(url, '://([^/?#]*)', 1)")} AS host,
+    return f"""
+WITH RECURSIVE p AS (SELECT page_id, {lower.format("regexp_extract(url, '://([^/?#]*)', 1)")} AS host,
    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
  j AS (SELECT *, CASE {fits} END AS r FROM p),
- l AS (SELECT host, unnest(list_distinct(regexp_extract_all(html, 'href\\s*=\\s*["'']?([a-z][a-z0-9+.-]*://[^"''\\s>]+)', 1, 'i'))) AS t FROM p),
- b AS (SELECT host AS src, {lower.format("regexp_extract(t, '://([^/?#]*)', 1)")} AS dst, count(*) AS w FROM l GROUP BY 1, 2),
+ l AS (SELECT host, unnest(list_distinct(regexp_extract_all(html, 'href\\s*=\\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\\s>]+)', 1, 'i'))) AS t FROM p),
+ b AS (SELECT host AS src, {lower.format("regexp_extract(t, '^[^/]*//([^/?#]*)', 1)")} AS dst, count(*) AS w FROM l GROUP BY 1, 2),
  b2 AS (SELECT * FROM b WHERE src <> '' AND dst <> '' AND src <> dst),
  h AS (SELECT host FROM p WHERE host <> '' UNION SELECT dst FROM b2),
  c AS (SELECT string_split(host, '.') AS s, unnest(range(1, len(string_split(host, '.')))) AS i FROM h),
  u AS (SELECT DISTINCT array_to_string(s[i:], '.') AS src, array_to_string(s[i + 1:], '.') AS dst FROM c),
  u2 AS (SELECT * FROM u WHERE src <> '' AND dst <> ''),
  e AS (SELECT src, dst, sum(w)::BIGINT AS w FROM (SELECT * FROM b2 UNION ALL SELECT src, dst, 1 FROM u2 UNION ALL SELECT dst, src, 1 FROM u2) GROUP BY 1, 2),
- k AS (SELECT 'allow' AS kind, src, dst, w FROM e UNION ALL SELECT 'block', dst, src, w FROM e),
- s AS (SELECT kind, src, dst, w * 1000000 // (sum(w) OVER (PARTITION BY kind, src))::BIGINT AS share FROM k),
  n AS (SELECT host, split_part(r, ' ', 1) AS kind, count(*) AS n FROM j WHERE r IS NOT NULL AND host <> '' GROUP BY 1, 2),
- m0 AS (SELECT kind, host, (n::HUGEINT * 1000000000000 // sum(n) OVER (PARTITION BY kind))::BIGINT AS mass FROM n)"""]
-    for i in range(1, ROUNDS + 1):
-        parts.append(f""" m{i} AS (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (
-   SELECT s.kind, s.dst AS host, (sum(mass * share // 1000000)::BIGINT * 85 // 100)::BIGINT AS mass
-   FROM m{i - 1} m JOIN s ON m.kind = s.kind AND m.host = s.src GROUP BY 1, 2
-   UNION ALL SELECT kind, host, mass * 15 // 100 FROM m0) GROUP BY 1, 2)""")
-    last = f""" bad AS (SELECT host FROM m{ROUNDS} GROUP BY host
-   HAVING sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) > sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END))
+ m0 AS (SELECT kind, host, n::HUGEINT * {MASS} // (sum(n) OVER (PARTITION BY kind))::HUGEINT AS mass FROM n),
+ d AS (SELECT kind, src, dst, w, (sum(w) OVER (PARTITION BY kind, src))::HUGEINT AS t
+   FROM (SELECT 'allow' AS kind, src, dst, w FROM e UNION ALL SELECT 'block', dst, src, w FROM e)),
+ own AS (SELECT kind, host FROM (SELECT src AS host FROM e UNION SELECT dst FROM e UNION SELECT host FROM n), (VALUES ('allow'), ('block')) v(kind)),
+ k AS MATERIALIZED (SELECT kind, src, dst, w, t, false AS self, 0::HUGEINT AS back FROM d
+   UNION ALL SELECT kind, host, host, 0, 1, true, coalesce(mass * {100 - FOLLOW} // 100, 0) FROM own LEFT JOIN m0 USING (kind, host)),
+ m AS (SELECT 0::BIGINT AS round, kind, host, mass, 0::HUGEINT AS was, true AS more FROM m0
+   UNION ALL
+   SELECT round + 1, kind, host, mass, was,
+     (round + 1) % {STEP} <> 0 OR count(*) FILTER (mass > 0 AND was = 0) OVER () > 0 OR sum(abs(mass - was)) OVER () >= {SETTLED}
+   FROM (SELECT m.round, k.kind, k.dst AS host, (sum(CASE WHEN self THEN back ELSE (m.mass * {FOLLOW} // 100) * k.w // k.t END))::HUGEINT AS mass,
+       (sum(CASE WHEN NOT self THEN 0 WHEN m.round % {STEP} = 0 THEN m.mass ELSE m.was END))::HUGEINT AS was
+     FROM m JOIN k ON k.kind = m.kind AND k.src = m.host WHERE m.more GROUP BY m.round, k.kind, k.dst)),
+ z AS (SELECT * FROM m WHERE round = (SELECT max(round) FROM m)),
+ bad AS (SELECT host FROM z GROUP BY host HAVING sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) > sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END))
 SELECT page_id, host, path, split_part(r, ' ', 2) AS rule,
   CASE WHEN r IS NOT NULL THEN split_part(r, ' ', 1) WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM j"""
-    return ",\n".join([*parts, last])
 
 
 ORACLE = _oracle()
