@@ -590,6 +590,26 @@ def oracle() -> dict[str, str]:
         UNION ALL SELECT position, 'other', Size, 'current' FROM runlist WHERE position % 50 = 7""",
         "runlist",
     )
+    whole = lambda side, kind, key: " UNION ALL ".join(
+        f"SELECT {key} AS position, '{kind}' AS kind, '{c}' AS cell, {c if side == 'old' else 'NULL'} AS old, {c if side == 'new' else 'NULL'} AS new FROM runlist WHERE {c} IS NOT NULL"
+        f" AND position % {60 if side == 'old' else 70} = {3 if side == 'old' else 5}" for c in ("Vehicle", "Size")
+    )
+    out["golden_cells"] = query(
+        f"""SELECT position, 'changed' AS kind, 'Vehicle' AS cell, Vehicle AS old, 'other' AS new FROM runlist WHERE position % 50 = 7 AND position % 60 <> 3 AND Vehicle IS DISTINCT FROM 'other'
+        UNION ALL {whole("old", "missing", "position")} UNION ALL {whole("new", "new", "-position")} UNION ALL SELECT NULL, 'schema', 'note', NULL, 'present'""",
+        "runlist",
+    )
+    out["atomic_window"] = out["rolling_replace"]
+    staged = "(7 * length(Vehicle) + length(Size)) % 5"
+    out["staging_good"] = query(
+        f"SELECT nullif(Vehicle, '') AS Vehicle, nullif(Size, '') AS Size, nullif(HB1, '') AS HB1, nullif(SKU20, '') AS SKU20, TIMESTAMP '2024-01-31 08:00:00' AS last_modified FROM wide WHERE {staged} NOT IN (2, 3)",
+        "wide",
+    )
+    out["staging_bad"] = query(f"SELECT CASE {staged} WHEN 2 THEN 'last_modified is no timestamp_ntz' ELSE 'header' END AS reason, Vehicle, Size FROM wide WHERE {staged} IN (2, 3)", "wide")
+    out["london_days"] = """
+      SELECT CAST(at_ AS DATE) AS day, min(at_) AS first_at, max(at_) AS last_at, count(*) AS n, CASE CAST(at_ AS DATE) WHEN DATE '2024-03-31' THEN 23 ELSE 24 END AS hours,
+        CAST(count(*) * 100 // CASE CAST(at_ AS DATE) WHEN DATE '2024-03-31' THEN 23 ELSE 24 END AS DECIMAL(18, 0)) AS per_100_hours
+      FROM (SELECT ts + INTERVAL 61 DAY + CASE WHEN ts + INTERVAL 61 DAY >= TIMESTAMP '2024-03-31 01:00:00' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS at_ FROM events) GROUP BY 1"""
     out["latest_stage"] = query(
         """SELECT run_id, coalesce('stage' || arg_max(stage, [epoch_us(ts), line]) FILTER (stage <> ''), 'unknown') AS stage, count(*) AS entries
         FROM (SELECT *, coalesce(regexp_extract(textPayload, '(?i)Starting Stage\\s+([0-9]+)', 1), '') AS stage FROM log) GROUP BY 1""",

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treadmark import schemas
 from treadmark.functions import lists, parsing, text
-from treadmark.operators.compare import row_drift
+from treadmark.operators.compare import cell_drift, row_drift
 from treadmark.operators.position import page
 from treadmark.plans import attribution, audit, cam_merge, candidates, clean, likeness, market, recommend, repair, score, score_output, size_file, slots, weighting
-from treadmark.session import durable, scratch_path
-from treadmark.sources import files, tables, testdata as td
+from treadmark.session import durable, scratch_path, staged_path
+from treadmark.sources import events as event_times, files, tables, testdata as td, versions
 from treadmark.sources.events import base_events
 
 RUN_DATE = td.RUN_DATE
@@ -434,6 +434,58 @@ def golden_diff(spark: SparkSession, folder: str) -> DataFrame:
     return row_drift(golden, current, ["PriorityRank"])
 
 
+def golden_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The cells that differ between a reference table and one with changed, lost and added rows and another column."""
+    golden = td.runlist(spark, folder).toDF("position", "Vehicle", "Size", "PriorityRank")
+    at = F.col("position")
+    changed = golden.where(at % 60 != 3).withColumn("Vehicle", F.when(at % 50 == 7, "other").otherwise(F.col("Vehicle"))).withColumn("PriorityRank", F.lit("x"))
+    current = changed.union(golden.where(at % 70 == 5).withColumn("position", -at)).withColumn("note", F.lit("x"))
+    found = cell_drift(golden, current, ["position"], ["PriorityRank"])
+    return found.select("position", "kind", F.explode("cells").alias("cell", "v")).select("position", "kind", "cell", "v.old", "v.new")
+
+
+def atomic_window(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``rolling_replace``, in one step, after a run that died before its commit."""
+    days = durable(td.events(spark, folder).select(F.to_date("event_date", "yyyyMMdd").alias("Date"), "event_name"), "days")
+    old = days.groupBy("Date").agg(F.count("*").alias("n")).withColumn("origin", F.lit("old"))
+    new = days.where((F.col("event_name") == "purchase") & (F.dayofmonth("Date") % 5 != 2)).groupBy("Date").agg(F.count("*").alias("n")).withColumn("origin", F.lit("new"))
+    table = versions.DayTable(spark, staged_path(spark, "day-table"), (("n", "bigint"), ("origin", "string")), "Date")
+    table.replace(old, dt.date(2000, 1, 1), dt.date(2099, 12, 31))
+    table.stage(new.withColumn("origin", F.lit("lost")), WINDOW.start, WINDOW.end)
+    table.replace(new, WINDOW.start, WINDOW.end)
+    return table.read()
+
+
+def _staging(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Staging rows written as CSV, some with a time that is none, some in files with another header, and loaded."""
+    kind = (7 * F.length("Vehicle") + F.length("Size")) % 5
+    rows = durable(td.wide_slots(spark, folder).select(*schemas.names(schemas.RESULTS)), "staging")
+    rows = rows.withColumn("last_modified", F.when(kind == 2, "yesterday").otherwise("2024-01-31 08:00:00"))
+    path = staged_path(spark, "staging-csv")
+    tables.export_csv(rows.where(kind != 3), f"{path}/right")
+    tables.export_csv(rows.where(kind == 3).withColumnRenamed("Size", "Sise"), f"{path}/wrong")
+    fields = tuple((n, "timestamp_ntz" if k == "timestamp" else k) for n, k in schemas.STAGING)
+    return files.load_checked(spark, f"{path}/*", fields)
+
+
+def staging_good(spark: SparkSession, folder: str) -> DataFrame:
+    return _staging(spark, folder)[0].select("Vehicle", "Size", "HB1", "SKU20", "last_modified")
+
+
+def staging_bad(spark: SparkSession, folder: str) -> DataFrame:
+    part = F.split("line", ",")
+    return _staging(spark, folder)[1].select("reason", F.get(part, F.lit(0)).alias("Vehicle"), F.get(part, F.lit(1)).alias("Size"))
+
+
+def london_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events 61 days later, by the day in London: the last one is the night of the clock change, an hour short."""
+    utc = event_times.utc_time(F.col("event_timestamp")) + F.expr("INTERVAL 61 DAY")
+    there = td.events(spark, folder).select(event_times.local_time(utc, "Europe/London").alias("at"))
+    days = there.groupBy(F.to_date("at").alias("day")).agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count("*").alias("n"))
+    hours = event_times.day_length(F.col("day"), "Europe/London")
+    return days.select("day", "first_at", "last_at", "n", hours.alias("hours"), F.floor(F.col("n") * 100 / hours).cast("decimal(18,0)").alias("per_100_hours"))
+
+
 def latest_stage(spark: SparkSession, folder: str) -> DataFrame:
     return audit.latest_stage(td.log_entries(spark, folder))
 
@@ -554,6 +606,7 @@ _JOBS = {
     "size_file_lines": size_file_lines, "runlist_first": runlist_first, "page_records": page_records, "contract_breaks": contract_breaks,
     "enhancer_similar": enhancer_similar, "cousin_vehicles": cousin_vehicles, "cousin_products": cousin_products,
     "influence_ranks": influence_ranks, "grade_quotas": grade_quotas, "slot_breaks": slot_breaks, "own_breaks": own_breaks, "slot_repair": slot_repair,
+    "golden_cells": golden_cells, "atomic_window": atomic_window, "staging_bad": staging_bad,
     "error_lines": error_lines, "failure_codes": failure_codes, "segment_rows": segment_rows, "size_lookup": size_lookup,
 }
 
@@ -566,4 +619,6 @@ def _shown(job):
     return run
 
 
-QUERIES = {name: _shown(job) for name, job in _JOBS.items()}
+# These show their values as they are: dates, times and decimals.
+_TYPED = {"staging_good": staging_good, "london_days": london_days}
+QUERIES = {name: _shown(job) for name, job in _JOBS.items()} | _TYPED

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from treadmark.functions import journey
 from treadmark.functions.text import page_token
@@ -53,3 +53,20 @@ def base_events(events: DataFrame, start: dt.date, end: dt.date, country: str =
             )
         ],
     )
+
+
+def utc_time(micros: Column) -> Column:
+    """The time of an event as TIMESTAMP without zone, in UTC, whatever the session's zone."""
+    seconds = (micros.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def local_time(utc: Column, zone: str) -> Column:
+    """The time on the clocks of ``zone``, with its summer time."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def day_length(day: Column, zone: str) -> Column:
+    """Hours of a calendar day in ``zone``: 23 or 25 when the clocks change."""
+    starts = [F.convert_timezone(F.lit(zone), F.lit("UTC"), F.date_add(day, n).cast("timestamp_ntz")) for n in (0, 1)]
+    return F.timestamp_diff("HOUR", *starts).cast("int")

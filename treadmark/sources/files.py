@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from treadmark import schemas
 from treadmark.functions.numbers import try_long
@@ -135,3 +135,36 @@ def typed_sales(sales: DataFrame) -> DataFrame:
 
 def distinct_makes(sales: DataFrame) -> DataFrame:
     return sales.where(F.col("CarMake").isNotNull()).select(F.upper(F.trim("CarMake")).alias("Make")).distinct()
+
+
+def load_checked(spark: SparkSession, path: str, fields: schemas.Fields) -> tuple[DataFrame, DataFrame]:
+    """CSV files with a header line as typed rows, and what could not be loaded: file, line_no, reason, line.
+
+    A file whose header is not that of ``fields`` is set apart whole; a line goes apart if it has another number of fields, or
+    a value that is not of its column's type (the reason names the first such column).  Empty values are null.  Lines
+    are numbered from 1, the header's, by counting the lines of each split and adding up those before, so no
+    file is numbered in one task.  A quoted value must not hold a line break.
+    """
+    names = schemas.names(fields)
+    source = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("id")
+    )
+    splits = source.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    lines = source.join(splits, ["file", "block"]).select("file", "value", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line_no"))
+    heads = lines.where("line_no = 1").select("file", F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(names) + 1))).alias("head"))
+    told = F.array(*(F.trim(F.col(f"head.c{i}")) for i in range(len(names) + 1)))
+    right = F.array(*map(F.lit, names), F.lit(None).cast("string"))
+    heads = heads.select("file", told.eqNullSafe(right).alias("known"))
+    cut = lines.join(heads, "file").where("line_no > 1")
+    text = ", ".join([*(f"c{i} string" for i in range(len(names))), f"{CORRUPT} string"])
+    cut = cut.withColumn("row", F.from_csv("value", text, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}))
+    cell = lambda i: F.nullif(F.col(f"row.c{i}"), F.lit(""))
+    wrong = F.when(~F.col("known"), "header").when(F.col(f"row.{CORRUPT}").isNotNull(), "number of fields")
+    for i, (name, kind) in enumerate(fields):
+        if kind != "string":
+            wrong = wrong.when(cell(i).isNotNull() & cell(i).try_cast(kind).isNull(), f"{name} is no {kind}")
+    checked = cut.withColumn("reason", wrong)
+    good = checked.where("reason IS NULL").select(*(cell(i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(fields)))
+    return good, checked.where("reason IS NOT NULL").select("file", F.col("line_no").cast("long"), "reason", F.col("value").alias("line"))
