@@ -26,7 +26,8 @@ WIDTH, PERCENT = 5, 75
 #: A chunk of documents ends after so many shingles or documents.
 CHUNK_SHINGLES, CHUNK_DOCS = 750_000, 60_000
 MEMORY = 100_000
-STAR_ROUNDS = 2
+#: Star rounds go on until so many in a row have each joined fewer than one in FEW of the vertices.
+QUIET, FEW = 3, 500
 
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 48) - 1)
@@ -231,10 +232,17 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     # on: a pair's first common shingle must leave enough on both sides.
     ranked = F.transform("found.id", lambda x, i: F.struct(x.alias("id"), (F.size("found") - i).cast("long").alias("left")))
     first = F.slice(ranked, 1, (F.size("found") - need(F.col("n"), percent) + 1).cast("int"))
-    sets = durable(found.select("rep", "n", F.col("found.id").alias("ids"), first.alias("first")), "sets")
+    # Documents of one size that share the same shingles with others are alike to all others, and to each other: one vertex.
+    alike = F.sha2(F.concat_ws(",", F.col("n").cast("string"), F.array_join("found.id", ",")).cast("binary"), 256)
+    kinds = durable(found.select("rep", "n", F.col("found.id").alias("ids"), first.alias("first"), alike.alias("alike")), "kinds")
     free(spark)
-    labels = None
-    for turn in range(STAR_ROUNDS + 1):
+    leads = kinds.groupBy("alike").agg(F.min("rep").alias("lead"), F.count("*").alias("members"))
+    of_kind = durable(kinds.select("rep", "n", F.size("ids").alias("shared"), "alike").join(leads, "alike").drop("alike"), "members")
+    sets = durable(kinds.join(of_kind.filter("rep = lead").select("rep"), "rep", "left_semi").drop("alike"), "sets")
+    free(spark)
+    labels, turn, quiet, joined, vertices = None, 0, 0, 0, sets.count()
+    while True:
+        stars = quiet < QUIET
         posted = sets.select("rep", "n", F.explode("first").alias("f")).select("rep", "n", "f.id", "f.left")
         if labels is None:
             posted = posted.withColumn("c", F.col("rep"))
@@ -242,7 +250,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
             l = labels.select(F.col("v").alias("rep"), "c")
             posted = posted.join(l, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
         a, b = posted.select("id", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("c").alias("c_a")), posted
-        if turn < STAR_ROUNDS:
+        if stars:
             # Every posting meets two leaders: twice as many pairs as postings, however large a group is.
             one = F.struct(F.xxhash64("a", F.lit(turn)), "a", "n_a", "left_a", "c_a")
             two = F.array_distinct(F.array(F.min(one), F.max(one))).alias("two")
@@ -258,17 +266,27 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
         sized = most * (100 + percent) >= (F.col("n_a") + F.col("n")) * percent
         pairs = a.join(b, "id").filter(apart & sized).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
         pairs = durable(pairs, "pairs")
+        turn += 1
         if not pairs.limit(1).count():
-            if turn >= STAR_ROUNDS:
+            if not stars:
                 break
+            quiet += 1
             continue
         links = _linked(pairs, sets, percent)
         if labels is not None:
             links = links.union(labels.filter("v <> c").select("v", "c"))
         labels = components(links)
         free(spark)
+        if not stars:
+            break
+        before, joined = joined, labels.filter("v <> c").count()
+        quiet = quiet + 1 if (joined - before) * FEW < vertices else 0
     if labels is None:
         labels = spark.createDataFrame([], "v long, c long")
+    # A vertex's documents are joined if they link with each other or with any other vertex; else each is by itself.
+    own = F.col("shared") * (100 + percent) >= 2 * F.col("n") * percent
+    found = of_kind.join(labels, F.col("lead") == F.col("v"), "left").filter(F.col("c").isNotNull() | ((F.col("members") > 1) & own))
+    labels = found.select(F.col("rep").alias("v"), F.coalesce("c", "lead").alias("c"))
     joined = some.select("row", "doc_id").join(members, "row", "left").withColumn("rep", F.coalesce("rep", "row"))
     joined = joined.join(labels, F.col("rep") == F.col("v"), "left").select("row", "doc_id", F.coalesce("c", "rep").alias("c"))
     least = joined.groupBy("c").agg(F.min("doc_id").alias("component_id"))
