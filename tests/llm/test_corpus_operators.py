@@ -427,6 +427,25 @@ def test_net_without_labels(spark):
     assert {r["score"] for r in found.collect()} == {0.5} and found.count() == awkward(spark).count()
 
 
+def test_net_learns_from_all_chunks_of_a_text():
+    for text in (b"", b"x", b"a" * 1024, bytes(range(1, 256)) * 40):
+        chunks = quality_net.chunks_of(text)
+        blocks = max(1, -(-len(text) // quality_net.BLOCK))
+        assert len(chunks) == max(1, blocks - 1)
+        for i, row in enumerate(chunks):
+            assert bytes(row) == text[i * 512 : i * 512 + 1024].ljust(1024, b"\0")
+    assert quality_net.within([5, 9, 3, 2, 0], 9) == [0, 2, 4]  # 9 and 2 are stepped over
+
+
+def test_net_learns_from_the_end_of_long_texts(spark):
+    filler = "plain words of no meaning " * 800  # 20 kB: what tells the classes apart comes after it
+    rows = [(i, filler + ("good QQQQ thing " if i % 2 else "bad thing ") * 60) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    found = quality_net.quality_scores(docs.union(docs), quality_net.train(docs.union(docs), labels)).collect()
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in found if r["held_out"]]) >= 0.95
+
+
 # --- URL filter
 
 def test_rules_by_host_and_path(spark):

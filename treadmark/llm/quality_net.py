@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from treadmark.llm.common import fold, only, ship, table
 
@@ -21,10 +21,11 @@ WIDTH, STRIDE, FILTERS = 8, 4, 16
 BLOCK = 512
 #: Bytes whose outputs are in memory at a time.
 SEGMENT = 1 << 18
-#: The network learns from at most so many labelled documents of each class, those with the smallest hashes of their ids.
-TRAIN_ROWS = 1500
-#: Of a long one, at most so many chunks, evenly spread over it, are learned from.
-TRAIN_CHUNKS = 12
+#: The network learns from the whole texts of at most so many labelled documents of each class, those with the smallest hashes
+#: of their ids, and of at most so many bytes; a document that would go beyond them is stepped over.
+TRAIN_ROWS, TRAIN_BYTES = 1500, 12_000_000
+#: Chunks whose outputs are in memory at a time when it learns.
+LEARN = 512
 EPOCHS, BATCH, RATE, DECAY = 14, 64, 0.01, 1e-4
 #: Rejecting a good document costs so many times what keeping a bad one does.
 GOOD_WEIGHT = 3.0
@@ -116,6 +117,19 @@ def _window(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return out
 
 
+def _highest(net: Net, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each chunk's highest output of every filter, and its place; chunks of a long text come piece by piece."""
+    raw, place = np.empty((len(padded), FILTERS), np.float32), np.empty((len(padded), FILTERS), np.int64)
+    for k in range(0, len(padded), LEARN):
+        piece = padded[k : k + LEARN]
+        total = np.zeros((len(piece), len(at), FILTERS), np.float32) + net.bias
+        for j in range(WIDTH):
+            total += net.taps[j][piece[:, at + j]]
+        place[k : k + LEARN] = total.argmax(axis=1)
+        raw[k : k + LEARN] = np.take_along_axis(total, place[k : k + LEARN, None, :], axis=1)[:, 0]
+    return raw, place
+
+
 def fit(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
     """A network fitted by Adam on the chunks (rows of 2 * BLOCK bytes) of each document; the classes
     weigh GOOD_WEIGHT to one, however many rows each has."""
@@ -140,11 +154,7 @@ def fit(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
             n = np.array([len(chunks[d]) for d in docs])
             start = np.concatenate(([0], np.cumsum(n)))[:-1]
             padded = np.pad(data, ((0, 0), (0, WIDTH - STRIDE)))
-            total = np.zeros((len(data), len(at), FILTERS), np.float32) + net.bias
-            for j in range(WIDTH):
-                total += net.taps[j][padded[:, at + j]]
-            place = total.argmax(axis=1)
-            raw = np.take_along_axis(total, place[:, None, :], axis=1)[:, 0]
+            raw, place = _highest(net, padded, at)
             m = np.maximum(raw, 0)
             top = np.maximum.reduceat(m, start, axis=0)
             mean = np.add.reduceat(m, start, axis=0) / n[:, None]
@@ -169,11 +179,21 @@ def fit(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
     return net
 
 
-def _cut(text: bytes) -> bytes:
-    """At most TRAIN_CHUNKS chunks of a text, evenly spread, each padded to 2 * BLOCK bytes."""
+def chunks_of(text: bytes) -> np.ndarray:
+    """All chunks of a text, the last padded with zeros."""
     n = max(1, -(-len(text) // BLOCK) - 1)
-    at = sorted({round(x) for x in np.linspace(0, n - 1, min(n, TRAIN_CHUNKS))})
-    return b"".join(text[i * BLOCK : (i + 2) * BLOCK].ljust(2 * BLOCK, b"\0") for i in at)
+    data = np.frombuffer(text.ljust((n + 1) * BLOCK, b"\0"), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, 2 * BLOCK)[::BLOCK]
+
+
+def within(sizes: list[int], limit: int) -> list[int]:
+    """Places of those sizes that fit below the limit, one after the other; what does not fit is stepped over."""
+    out = []
+    for place, size in enumerate(sizes):
+        if size <= limit:
+            limit -= size
+            out.append(place)
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Net:
@@ -183,17 +203,16 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Net:
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     of = lambda q: known.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     some = of(0).union(of(1)).withColumnRenamed("doc_id", "of")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [_cut((t or "").encode()) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(parts, pa.binary()), batch.column(2)], names=["doc_id", "chunks", "quality"])
-
-    picked = only(docs, "doc_id", text).join(F.broadcast(some), F.col("doc_id") == F.col("of")).select("doc_id", text, "quality")
-    rows = picked.mapInArrow(cut, "doc_id bigint, chunks binary, quality int").collect()  # bounded by TRAIN_ROWS and TRAIN_CHUNKS
-    rows = sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])
-    chunks = [np.frombuffer(bytes(r["chunks"]), np.uint8).reshape(-1, 2 * BLOCK) for r in rows]
-    return fit(chunks, np.array([r["quality"] for r in rows], float))
+    whole = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
+    picked = only(docs, "doc_id", text).join(F.broadcast(some), F.col("doc_id") == F.col("of")).select("of", whole.alias("text"), "quality")
+    one = picked.groupBy("of").agg(F.min("text").alias("text"), F.max("quality").alias("quality"))  # repeated rows count once
+    order = Window.partitionBy("quality").orderBy(F.xxhash64("of"), "of")  # at most TRAIN_ROWS rows each
+    sizes = one.select("of", "quality", F.octet_length("text").alias("size"), F.row_number().over(order).alias("place"))
+    ranked = sorted(sizes.collect(), key=lambda r: r["place"])
+    chosen = [group[k]["of"] for q in (0, 1) for group in [[r for r in ranked if r["quality"] == q]] for k in within([r["size"] for r in group], TRAIN_BYTES)]
+    rows = picked.filter(F.col("of").isin(chosen)).groupBy("of").agg(F.min("text").alias("text"), F.max("quality").alias("quality")).collect()
+    rows = sorted(rows, key=lambda r: r["of"])  # bounded by TRAIN_ROWS and TRAIN_BYTES
+    return fit([chunks_of(bytes(r["text"])) for r in rows], np.array([r["quality"] for r in rows], float))
 
 
 def quality_scores(docs: DataFrame, net: Net, text: str = "text") -> DataFrame:
