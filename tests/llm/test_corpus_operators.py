@@ -305,25 +305,118 @@ def test_lm_counts_and_learns(spark, small):
     assert out["score"].sum() > out["base_score"].sum()  # better than the unigram base on texts it has not seen
 
 
-def test_probabilities_sum_to_one():
-    word, context, n = np.array([0, 0, 1, 2, 2]), np.array([1, 2, 1, 1, 3], np.uint8), np.array([5, 1, 2, 9, 400])
-    bucket = {"bucket": 0, "words": 3, "word": word, "context": context, "n": n}
-    totals = np.bincount(context, weights=n, minlength=seating_lm.CONTEXTS)
-    types = np.bincount(context, minlength=seating_lm.CONTEXTS)
-    model = seating_lm.Model(3, int(n.sum()), totals, 0.6, 0.5, [seating_lm.Shared(types, 5, 3)])
-    for sweep in (1, 2):
-        tables, customers, parents = seating_lm.seated(bucket, model, sweep)[-1]
-        assert (tables >= 1).all() and (tables <= n).all() and (parents <= customers).all()
-        by = np.bincount(context, weights=tables, minlength=seating_lm.CONTEXTS)
-        model.sweeps.append(seating_lm.Shared(by, customers.sum(), parents.sum()))
-        chance = model.parent(sweep, customers, parents)
-        rest = (1 + model.parent_discount * parents.sum()) / (1 + customers.sum()) / 4
-        assert chance.sum() + rest == pytest.approx(1)
-        for c in (1, 2, 3, 7):
-            own = np.zeros(3)
-            np.add.at(own, word[context == c], (n - model.discount * tables)[context == c])
-            spare = model.spare(sweep)[c]
-            assert (own + spare * chance).sum() + spare * rest == pytest.approx(1 + totals[c])
+@pytest.mark.parametrize("hot", [[], [0], [0, 2]])
+def test_probabilities_sum_to_one(hot):
+    contexts = np.array([0, 256, 257, 258, 600])  # three classes
+    n = np.array([[5, 1, 0, 9, 0], [0, 0, 2, 0, 0], [1, 400, 30, 0, 7]])
+    dish, context = np.repeat(np.arange(3), 5), np.tile(contexts, 3)
+    rank = np.array([hot.index(d) if d in hot else -1 for d in range(3)])
+    own = seating_lm.Bucket(0, rank, dish, context, n.ravel())
+    model = seating_lm.Model(3, int(n.sum()), np.bincount(context, weights=n.ravel(), minlength=seating_lm.CONTEXTS), (0.6, 0.5, 0.4), n.sum(axis=1)[hot], [])
+    for sweep in (0, 1, 2):
+        seats = seating_lm.seated(own, model, sweep)[-1]
+        live = own.n > 0
+        assert (seats.tables[live] >= 1).all() and (seats.tables <= own.n).all() and (seats.middle_tables <= seats.middle).all()
+        assert (seats.top_tables <= seats.top).all() and seats.top.sum() == seats.middle_tables.sum()
+        now = seating_lm.shared(seating_lm.told(own, seats, len(hot)).astype(float), model, sweep)
+        top = model.top(sweep, seats.top, seats.top_tables)
+        top[hot] = now.hot
+        unknown = model.base(sweep) / (1 + now.top_customers)
+        assert top.sum() + unknown == pytest.approx(1)
+        chance = model.chance(sweep, own, seats).reshape(3, 5)
+        for k, c in enumerate(contexts):
+            of = c // seating_lm.IN_CLASS
+            rest = model.spare(sweep)[c] / (1 + model.totals[c]) * model.class_spare(sweep)[of] / (1 + now.customers[of]) * unknown
+            assert chance[:, k].sum() + rest == pytest.approx(1)
+
+
+class PlainModel:
+    """The same restaurants, one customer after the other: each is taken out and seated again in every sweep."""
+
+    def __init__(self, discounts, words, seed):
+        self.discounts, self.words, self.rng = discounts, words, random.Random(seed)
+        self.rooms = collections.defaultdict(lambda: collections.defaultdict(list))  # room -> dish -> sizes of its tables
+        self.guests, self.open = collections.Counter(), collections.Counter()
+
+    def path(self, context):
+        return [(0, context), (1, context // seating_lm.IN_CLASS), (2, 0)]
+
+    def chances(self, dish, path):
+        p, out = 1 / (self.words + 1), []
+        for room in reversed(path):
+            d, sizes = self.discounts[room[0]], self.rooms[room][dish]
+            p = (sum(sizes) - d * len(sizes) + (1 + d * self.open[room]) * p) / (1 + self.guests[room])
+            out.insert(0, p)
+        return [*out, 1 / (self.words + 1)]
+
+    def add(self, dish, path):
+        for room, above in zip(path, self.chances(dish, path)[1:]):
+            d, sizes = self.discounts[room[0]], self.rooms[room][dish]
+            new = (1 + d * self.open[room]) * above
+            at = self.rng.choices(range(len(sizes) + 1), [x - d for x in sizes] + [new])[0]
+            self.guests[room] += 1
+            if at < len(sizes):
+                sizes[at] += 1
+                return
+            sizes.append(1)
+            self.open[room] += 1
+
+    def remove(self, dish, path):
+        for room in path:
+            sizes = self.rooms[room][dish]
+            at = self.rng.choices(range(len(sizes)), sizes)[0]
+            self.guests[room] -= 1
+            sizes[at] -= 1
+            if sizes[at]:
+                return
+            del sizes[at]
+            self.open[room] -= 1
+
+
+def plain_discounts(pairs):
+    """Of a context, a class and the topmost restaurant, from how often a dish comes once and twice with one table each."""
+    count = collections.Counter(pairs)
+    middle = collections.Counter((w, c // seating_lm.IN_CLASS) for w, c in count)
+    top = collections.Counter(w for w, _ in middle)
+    ones = [collections.Counter(level.values()) for level in (count, middle, top)]
+    return [min(max(o[1] / (o[1] + 2 * o[2]), 0.05), 0.95) if o[1] else 0.5 for o in ones]
+
+
+@pytest.mark.parametrize("hot", [4096, 12, 1])
+def test_lm_like_a_plain_sampler(spark, monkeypatch, hot):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    follow = {w: rng.choices(words, [1 / (i + 1) for i in range(150)], k=4) for w in words}
+    rows = []
+    for i in range(90):
+        text = [rng.choice(words)]
+        for _ in range(rng.randint(10, 70)):
+            text.append(rng.choice(follow[text[-1]]) if rng.random() < 0.7 else rng.choices(words, [1 / (k + 1) for k in range(150)])[0])
+        rows.append((i, " ".join(text)))
+    monkeypatch.setattr(seating_lm, "HOT", hot)
+    found = {r["doc_id"]: r["score"] for r in seating_lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+    def pairs(text):
+        tokens = text.encode().split() + [b" "]
+        return list(zip(tokens, [0, *map(seating_lm.context_of, tokens[:-1])]))
+
+    training = [p for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for p in pairs(t)]
+    model = PlainModel(plain_discounts(training), len({w for w, _ in training}), 3)
+    for w, c in training:
+        model.add(w, model.path(c))
+    total, kept = collections.defaultdict(lambda: collections.Counter()), 0
+    for sweep in range(14):
+        for w, c in training:
+            model.remove(w, model.path(c))
+            model.add(w, model.path(c))
+        if sweep >= 4:
+            kept += 1
+            for i, t in rows:
+                for k, (w, c) in enumerate(pairs(t)):
+                    total[i][k] += model.chances(w, model.path(c))[0]
+    want = {i: sum(math.log10(x / kept) for x in of.values()) for i, of in total.items()}
+    assert sum(found.values()) == pytest.approx(sum(want.values()), rel=0.02)
+    assert max(abs(found[i] - want[i]) / abs(want[i]) for i in want) < 0.06
 
 
 def test_seating_follows_the_restaurant():
