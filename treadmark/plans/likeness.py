@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treadmark.functions.lists import is_valid_id
+from treadmark.operators.lookup import grown
 from treadmark.operators.topk import best_n
 from treadmark.plans.candidates import NARROW, WIDE, keyed
+from treadmark.session import durable
 
 # Steps between grades and between classes, and what a step, a decibel and another season count.  Prices count by their
 # difference in thousandths of the compared price; what is not known on one side counts UNKNOWN.
@@ -67,14 +69,15 @@ def similar_product(scored: DataFrame, brand: str) -> DataFrame:
     """
     lead = F.min(F.struct((-F.col("units")).alias("u"), "tier", "id")).alias("first")
     leads = sold(scored).groupBy(*NARROW).agg(lead).select(*NARROW, F.col("first.id").alias("lead"))
-    products = attributes(scored)
+    products = durable(attributes(scored), "products")
     mine = products.select(*WIDE, *(F.col(c).alias(f"a_{c}") for c in products.columns if c not in WIDE))
     theirs = products.where(F.col("brand") == brand.strip().lower()).select(*WIDE, *(F.col(c).alias(f"b_{c}") for c in products.columns if c not in WIDE))
-    asked = leads.select(*WIDE, F.col("lead").alias("a_id")).distinct().join(mine, [*WIDE, "a_id"])
-    near = asked.join(theirs, WIDE).groupBy(*WIDE, F.col("a_id").alias("lead")).agg(
+    leads = durable(leads, "leads")
+    asked = grown(leads.select(*WIDE, F.col("lead").alias("a_id")).distinct()).join(mine, [*WIDE, "a_id"])
+    near = grown(asked).join(theirs, WIDE).groupBy(*WIDE, F.col("a_id").alias("lead")).agg(
         F.min(F.struct(distance("a_", "b_").alias("distance"), F.col("b_id").alias("nearest"))).alias("near")
     )
-    return leads.join(near, [*WIDE, "lead"], "left").select(*NARROW, "lead", "near.nearest", "near.distance")
+    return grown(leads).join(near, [*WIDE, "lead"], "left").select(*NARROW, "lead", "near.nearest", "near.distance")
 
 
 def cousin_vehicles(scored: DataFrame, enough: int = ENOUGH, cousins: int = COUSINS) -> DataFrame:
@@ -84,13 +87,16 @@ def cousin_vehicles(scored: DataFrame, enough: int = ENOUGH, cousins: int = COUS
     help ask, each with fewer than ``enough`` products, so a size has at most that many pairs for a fit and a vehicle, and
     sums are made before the shuffle.
     """
-    bought = sold(scored).select(*NARROW, "id", "units")
+    return _cousins(durable(sold(scored).select(*NARROW, "id", "units"), "bought"), enough, cousins)
+
+
+def _cousins(bought: DataFrame, enough: int, cousins: int) -> DataFrame:
     fits = bought.groupBy(*NARROW).agg(F.sum(F.col("units") * F.col("units")).alias("square"), F.count("*").alias("n"))
-    asking = bought.join(fits.where(F.col("n") < enough).select(*NARROW), NARROW, "left_semi")
+    asking = grown(bought).join(fits.where(F.col("n") < enough).select(*NARROW), NARROW, "left_semi")
     other = bought.select(*WIDE, "id", F.col("vehicle_key").alias("cousin"), F.col("units").alias("their_units"))
-    dots = asking.join(other, [*WIDE, "id"]).where("vehicle_key <> cousin").groupBy(*NARROW, "cousin").agg(F.sum(F.col("units") * F.col("their_units")).alias("dot"))
+    dots = grown(asking).join(other, [*WIDE, "id"]).where("vehicle_key <> cousin").groupBy(*NARROW, "cousin").agg(F.sum(F.col("units") * F.col("their_units")).alias("dot"))
     theirs = fits.select(*WIDE, F.col("vehicle_key").alias("cousin"), F.col("square").alias("their_square"))
-    both = dots.join(fits.select(*NARROW, "square"), NARROW).join(theirs, [*WIDE, "cousin"])
+    both = grown(grown(dots).join(fits.select(*NARROW, "square"), NARROW)).join(theirs, [*WIDE, "cousin"])
     cosine = F.floor(1e6 * F.col("dot").cast("double") / F.sqrt(F.col("square").cast("double") * F.col("their_square").cast("double")))
     ranked = best_n(both.withColumn("cosine", cosine), NARROW, [F.desc("cosine"), F.asc("cousin")], cousins, "place")
     return ranked.select(*NARROW, "place", "cousin", "cosine")
@@ -101,13 +107,17 @@ def cousin_products(scored: DataFrame, enough: int = ENOUGH, cousins: int = COUS
 
     Products of brands that the fit buys already come first, then those with most units, weighed by likeness.
     """
-    bought, near = sold(scored).select(*NARROW, "id", "units"), cousin_vehicles(scored, enough, cousins)
-    brands = attributes(scored).select(*WIDE, "id", "brand")
+    bought = durable(sold(scored).select(*NARROW, "id", "units"), "bought")
+    near = durable(_cousins(bought, enough, cousins), "cousins")
+    brands = durable(attributes(scored).select(*WIDE, "id", "brand"), "brands")
+    # Only what the fits that have cousins buy is held against their offers.
+    mine = grown(bought).join(near.select(*NARROW).distinct(), NARROW, "left_semi")
     theirs = bought.select(*WIDE, F.col("vehicle_key").alias("cousin"), "id", "units")
-    offered = near.join(theirs, [*WIDE, "cousin"]).groupBy(*NARROW, "id").agg(F.sum(F.col("cosine") * F.col("units")).alias("weight"))
-    new = offered.join(bought.select(*NARROW, "id"), [*NARROW, "id"], "left_anti").join(brands, [*WIDE, "id"])
-    own = bought.join(brands, [*WIDE, "id"]).select(*NARROW, "brand").distinct().withColumn("known", F.lit(True))
-    have = bought.groupBy(*NARROW).agg(F.count("*").alias("n"))
-    told = new.join(own, [*NARROW, "brand"], "left").withColumn("known_brand", F.coalesce("known", F.lit(False))).join(have, NARROW)
+    offered = grown(near).join(theirs, [*WIDE, "cousin"]).groupBy(*NARROW, "id").agg(F.sum(F.col("cosine") * F.col("units")).alias("weight"))
+    new = grown(grown(offered).join(mine.select(*NARROW, "id"), [*NARROW, "id"], "left_anti")).join(brands, [*WIDE, "id"])
+    own = grown(mine).join(brands, [*WIDE, "id"]).select(*NARROW, "brand").distinct().withColumn("known", F.lit(True))
+    have = mine.groupBy(*NARROW).agg(F.count("*").alias("n"))
+    known = grown(new).join(own, [*NARROW, "brand"], "left").withColumn("known_brand", F.coalesce("known", F.lit(False)))
+    told = grown(known).join(have, NARROW)
     ranked = best_n(told, NARROW, [F.desc("known_brand"), F.desc("weight"), F.asc("id")], enough, "place")
     return ranked.where(F.col("place") + F.col("n") <= enough).select(*NARROW, "place", "id", "known_brand", "weight")
