@@ -60,8 +60,10 @@ def sku_metadata(scored: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def unmatched_skus(scored: DataFrame, runs: DataFrame) -> DataFrame:
-    known = scored.select(F.col("ProductId").cast("string").alias("sku"))
-    return sku_universe(runs).join(known, "sku", "left_anti")
+    universe = durable(sku_universe(runs), "universe")  # read twice
+    # the scored rows are cut to the answered products before they are held against them
+    known = scored.select(F.col("ProductId").cast("string").alias("sku")).join(universe, "sku", "left_semi").distinct()
+    return universe.join(known, "sku", "left_anti")
 
 
 def quality(runs: DataFrame, scored: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def quality(runs: DataFrame, scored: DataFrame) -> DataFrame:
     # Counted per setting and product before the join, so a product answered in
     # a third of all runs is one row per setting.
     counts = durable(_sku_counts(runs, CONFIG), "sku-counts")  # the runs' products are taken apart once
-    grades = sku_metadata(scored, counts.select("sku").distinct()).select("sku", F.col("TyreScore").alias("grade"))
+    grades = sku_metadata(scored, durable(counts.select("sku").distinct(), "universe")).select("sku", F.col("TyreScore").alias("grade"))
     graded = counts.join(grades, "sku", "left").withColumn("grade", F.coalesce("grade", F.lit("Unknown")))
     best = graded.groupBy(*CONFIG).agg(
         F.sum(F.when(F.contains(F.upper("grade"), F.lit("BEST")), F.col("n")).otherwise(0)).alias("best")
@@ -142,8 +144,8 @@ def outcome_counts(results: DataFrame, batch_size: int, position: str = "positio
 def list_diff(df: DataFrame, reference: Column, got: Column, keys: list[str]) -> DataFrame:
     """What an answer misses, adds, and has out of order against a reference list."""
     rows = df.select(*keys, reference.alias("_ref"), got.alias("_got"))
-    ref, res = F.col("_ref"), F.col("_got")
-    moved = lists.out_of_order(ref, res)
+    ref, res, moved = F.col("_ref"), F.col("_got"), F.col("_moved")
+    rows = rows.withColumn("_moved", lists.out_of_order(ref, res))
     return rows.select(
         *keys,
         F.concat_ws(" ", lists.missing_from(ref, res)).alias("missing"),
