@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from treadmark.functions.lists import HOTBOXES, SKUS, as_columns, is_valid_id, padded
+from treadmark.operators.lookup import grown
 from treadmark.operators.topk import best_n
 from treadmark.plans import recommend
 from treadmark.plans.candidates import NARROW, WIDE, keyed, keyed_requests
@@ -72,20 +73,22 @@ INVARIANTS = (
 )
 
 
-def in_context(answers: DataFrame, requests: DataFrame, scored: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def in_context(answers: DataFrame, requests: DataFrame, scored: DataFrame, rules: Rules = Rules(), fits: DataFrame | None = None) -> DataFrame:
     """Answers with the lists and shares of their fits, and ``boxes``: place (0 to 3), id and traits of each hotbox.
 
     A hotbox whose product its size does not have is not ``there``.  An answer's row is joined to its fit once; the
-    hotboxes are looked up by (size, id), four rows for each answer.
+    hotboxes are looked up by (size, id), four rows for each answer.  ``fits``: the ``scopes`` of the requests, if the caller has them.
     """
-    fits = recommend.scopes(requests, scored, rules)
-    facts = durable(recommend.best_rows(recommend.features(scored, rules)).groupBy(*WIDE, "id").agg(F.min("r").alias("r")), "size-facts")
+    fits = recommend.scopes(requests, scored, rules) if fits is None else fits
+    facts = durable(recommend.best_rows(recommend.features(scored, rules), WIDE), "size-facts")
     prices = keyed(scored).where(is_valid_id(F.col("ProductId").cast("string"))).groupBy(*WIDE, F.col("ProductId").cast("string").alias("id")).agg(F.min("PRICE").alias("price"))
-    middle = facts.where("r.a AND r.grade = 'MidRange'").select(*WIDE, "id").join(prices, [*WIDE, "id"])
+    middle = facts.where("r.a AND r.grade = 'MidRange'").select(*WIDE, "id")
+    middle = grown(middle).join(prices, [*WIDE, "id"])
     cheap = best_n(middle, WIDE, [F.asc_nulls_last("price"), F.asc("id")], CHEAP, "n")
     cheap = cheap.groupBy(*WIDE).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "id"))), lambda x: x["id"]).alias("cheap"))
     rows = keyed_requests(answers)
-    long = rows.select(*ROW, *WIDE, F.posexplode(F.array(*HOTBOXES)).alias("at", "id")).join(facts, [*WIDE, "id"], "left")
+    long = rows.select(*ROW, *WIDE, F.posexplode(F.array(*HOTBOXES)).alias("at", "id"))
+    long = grown(long).join(facts, [*WIDE, "id"], "left")
     item = F.struct("at", "id", F.col("r").isNotNull().alias("there"), *(F.col(f"r.{t}").alias(t) for t in TRAITS))
     boxes = long.groupBy(*ROW).agg(F.sort_array(F.collect_list(item)).alias("boxes"))
     df = rows.join(boxes, ROW).join(fits, NARROW).join(cheap, WIDE, "left")

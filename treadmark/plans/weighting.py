@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from treadmark.functions.lists import is_valid_id
 from treadmark.functions.numbers import exact_avg
 from treadmark.functions.scoring import NO_SALES
+from treadmark.operators.lookup import grown
 from treadmark.operators.topk import best_n
 from treadmark.plans import recommend
 from treadmark.plans.candidates import NARROW, WIDE, keyed, keyed_requests
 from treadmark.plans.likeness import attributes
+from treadmark.session import durable
 
 #: Influence columns and the order of a size's products in each: the best first.
 FACTORS: Mapping[str, tuple[str, bool]] = {
@@ -58,7 +60,8 @@ def fused(weights: Mapping[str, Column]) -> Column:
 def influence_ranks(scored: DataFrame, n: int = 10) -> DataFrame:
     """Per fit its ``n`` products with the highest fused influence; ties go to the smaller id."""
     own = keyed(scored).where(is_valid_id(F.col("ProductId").cast("string"))).select(*NARROW, F.col("ProductId").cast("string").alias("id")).distinct()
-    rows = own.join(factor_ranks(scored), [*WIDE, "id"]).join(factor_weights(scored), NARROW)
+    ranks, weights = durable(factor_ranks(scored), "factor-ranks"), durable(factor_weights(scored), "factor-weights")
+    rows = grown(own).join(ranks, [*WIDE, "id"]).join(weights, NARROW)
     told = rows.select(*NARROW, "id", "from_fit", fused({c: F.col(c) for c in FACTORS}).alias("fused"))
     return best_n(told, NARROW, [F.desc("fused"), F.asc("id")], n, "place").select(*NARROW, "place", "id", "fused", "from_fit")
 
@@ -95,7 +98,9 @@ def grade_quotas(requests: DataFrame, scored: DataFrame, slots: int = recommend.
     products (``have``), what is missing being shared again."""
     wanted = keyed_requests(requests).groupBy(*NARROW).agg(F.min("Segment").alias("Segment"))
     rows = recommend.features(scored, recommend.Rules())
-    have = rows.groupBy(*NARROW).agg(*(F.count_distinct(F.when(F.col("grade") == g, F.col("id"))).alias(f"have_{g}") for g in GRADES))
+    # distinct products first: counting them distinct by grade would take each row once for every grade
+    each = rows.where(F.col("grade").isin(*GRADES)).select(*NARROW, "grade", "id").repartition(*NARROW).distinct()
+    have = each.groupBy(*NARROW).agg(*(F.count_if(F.col("grade") == g).alias(f"have_{g}") for g in GRADES))
     df = wanted.join(recommend.fit_shares(rows), NARROW, "left").join(recommend.segment_shares(rows), "Segment", "left").join(have, NARROW, "left")
     df = recommend.settled_shares(df)
     df = df.withColumns({f"have_{g}": F.coalesce(f"have_{g}", F.lit(0).cast("long")) for g in GRADES})
