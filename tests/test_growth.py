@@ -91,3 +91,20 @@ def test_places_are_found_once_an_item(spark):
     out = df.select(lists.out_of_order(F.col("ref"), F.col("got")).alias("m"))
     assert [r["m"] for r in out.collect()] == [["a", "b"], [], [], [], None]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than the 20,000 that the target was once fitted on, and ids that are null or repeat."""
+    import math
+
+    from treadmark.llm import quality_rules
+
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "IF(id < 25000, 'good', 'bad') AS text")
+    docs = docs.union(spark.createDataFrame([(None, "bad"), (7, "bad"), (8, None)], "doc_id bigint, text string"))
+    trusted = spark.range(25_000).selectExpr("id AS doc_id").union(spark.createDataFrame([(None,), (3,)], "doc_id bigint"))
+    ratios = quality_rules.log_ratios(docs, trusted, 64)
+    good, bad = (spark.sql(f"SELECT pmod(xxhash64('{w}'), 64)").first()[0] for w in ("good", "bad"))
+    assert good != bad
+    trusted_sum, raw_sum = 25_001 + 64, 30_002 + 64
+    assert ratios[good] == pytest.approx(math.log(25_001 / trusted_sum) - math.log(25_001 / raw_sum))
+    assert ratios[bad] == pytest.approx(math.log(2 / trusted_sum) - math.log(5_003 / raw_sum))

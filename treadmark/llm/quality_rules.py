@@ -15,8 +15,6 @@ from treadmark.llm.common import only, table, text_of, words_of
 BUCKETS = 8192
 #: A document is kept when its mean log ratio for each n-gram is at least this.
 THRESHOLD = -0.06
-#: The target multinomial is fitted on at most so many trusted documents, those with the smallest hashes of their ids.
-TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -87,16 +85,17 @@ def features(words: Column, buckets: int = BUCKETS) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, text: str = "text") -> list[float]:
     """log(p_trusted / p_raw) for each bucket, both with one added to every count.
 
-    All documents count for the raw multinomial.  The target is fitted on those whose doc_id is in ``trusted``, at most
-    TRUSTED_ROWS of them, so the ids can be sent to every task.  The sums are as
-    many as there are buckets, so a list of them can go to the driver whatever the corpus.  Without a trusted
-    document every ratio is 0.
+    All documents count for the raw multinomial, and all whose doc_id is in ``trusted`` for the target.  Trusted ids grow
+    with the corpus, so texts and ids are dealt by id and meet in tables of one task's ids; a text without id is
+    never trusted and is dealt by its own hash.  The sums are as many as there are buckets, so a list of
+    them can go to the driver whatever the corpus.  Without a trusted document every ratio is 0.
     """
-    some = trusted.select(F.col("doc_id").alias("of")).distinct().orderBy(F.xxhash64("of"), "of").limit(TRUSTED_ROWS)
-    ids = F.broadcast(some.withColumn("good", F.lit(1)))
-    words = only(docs, "doc_id", text).select("doc_id", features(words_of(text_of(text)), buckets).alias("f"))
-    marked = words.join(ids, F.col("doc_id") == F.col("of"), "left")
-    sums = marked.select(F.explode("f").alias("b"), "good").groupBy("b").agg(F.count("*").alias("raw"), F.count("good").alias("good"))
+    ids = trusted.select(F.col("doc_id").alias("of")).where("of IS NOT NULL").distinct().select("of", F.lit(0).cast("long").alias("at"), F.lit(1).alias("good"))
+    rows = only(docs, "doc_id", text).select("doc_id", text_of(text).alias("text"))
+    rows = rows.withColumn("spread", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+    marked = rows.join(ids.hint("shuffle_hash"), (F.col("doc_id") == F.col("of")) & (F.col("spread") == F.col("at")), "left")
+    found = marked.select(features(words_of(F.col("text")), buckets).alias("f"), "good")
+    sums = found.select(F.explode("f").alias("b"), "good").groupBy("b").agg(F.count("*").alias("raw"), F.count("good").alias("good"))
     raw, good = [1.0] * buckets, [1.0] * buckets
     for b, r, g in sums.collect():
         raw[b] += r
