@@ -108,3 +108,18 @@ def test_every_trusted_document_counts(spark):
     trusted_sum, raw_sum = 25_001 + 64, 30_002 + 64
     assert ratios[good] == pytest.approx(math.log(25_001 / trusted_sum) - math.log(25_001 / raw_sum))
     assert ratios[bad] == pytest.approx(math.log(2 / trusted_sum) - math.log(5_003 / raw_sum))
+
+
+def test_a_task_gives_back_what_it_freed():
+    """Small objects between live ones: the allocator alone would keep their pages."""
+    from treadmark.llm.common import give_back
+
+    def resident() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    held = [bytes(2000) for _ in range(100_000)]
+    held = held[::50]
+    before = resident()
+    give_back()
+    assert before - resident() > 50_000_000 and len(held) == 2_000

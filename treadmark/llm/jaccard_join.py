@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from treadmark.llm.common import LOWER_BYTES, free, only, rows_of, ship, shuffle_partitions, table
+from treadmark.llm.common import LOWER_BYTES, free, give_back, only, rows_of, ship, shuffle_partitions, table
 from treadmark.session import durable
 
 WIDTH, PERCENT = 5, 75
@@ -121,9 +121,9 @@ def shared_shingles(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                 doc_ids, sets, held, part = [], [], 0, part + 1
         if sets:
             yield from _send(base + part, doc_ids, sets, buckets)
-        # the worker outlives its task: give back what it held
         shingler.known.clear()
-        pa.default_memory_pool().release_unused()
+        doc_ids, sets = [], []
+        give_back()
 
     def meet(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()

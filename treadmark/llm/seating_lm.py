@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treadmark.llm.common import LOWER_BYTES, fold, free, only, pack, rows_of, ship, shuffle_partitions, table, unpack
+from treadmark.llm.common import LOWER_BYTES, fold, free, give_back, only, pack, rows_of, ship, shuffle_partitions, table, unpack
 from treadmark.session import durable, staged_path
 
 #: Endings, and restaurants of words with one ending.
@@ -232,13 +232,17 @@ def _cut(chunk: int, vocabulary: Vocabulary, docs: list[tuple], hot: dict[bytes,
     context = np.concatenate(([0], contexts[flat[:-1]]))
     context[np.cumsum(sizes)[:-1]] = 0
     dish = np.where(rank[flat] < 0, flat, len(words) + rank[flat] * CLASSES + context // IN_CLASS)
+    del flat
     used, dish = np.unique(dish, return_inverse=True)
     names = [words[d] if d < len(words) else b"%b %d" % (frequent[(d - len(words)) // CLASSES], (d - len(words)) % CLASSES) for d in used.tolist()]
     of = [xxhash.xxh3_64_intdigest(name) % buckets for name in names]
     order = sorted(range(len(names)), key=lambda i: (of[i], names[i]))  # as the buckets sort them
     place = np.empty(len(names), np.int64)
     place[order] = np.arange(len(names))
-    pairs, inverse = np.unique(place[dish] * CONTEXTS + context, return_inverse=True)
+    keys = place[dish] * CONTEXTS + context
+    del dish, context
+    pairs, inverse = np.unique(keys, return_inverse=True)
+    del keys
     n = np.bincount(inverse, weights=~np.repeat([bool(h) for _, h, _ in docs], sizes), minlength=len(pairs)).astype(np.uint32)
     edges = np.searchsorted(np.array(of)[order], np.arange(buckets + 1))
     cuts = np.searchsorted(pairs, edges * CONTEXTS)
@@ -363,6 +367,8 @@ def frequent(rows: DataFrame) -> tuple[dict[bytes, int], int]:
                 seen, tokens = Counter(), 0
         if tokens:
             yield often()
+        seen.clear()
+        give_back()
 
     sums = durable(rows.select("text").mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "frequent-words")
     total = sums.filter("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -401,6 +407,8 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
                 vocabulary, held, tokens, part = Vocabulary(), [], 0, part + 1
         if held:
             yield from _cut(base + part, vocabulary, held, hot, buckets)
+        vocabulary, held = Vocabulary(), []
+        give_back()
 
     path = staged_path(spark, "numbered")
     kinds = "chunk long, bucket int, sent binary, texts binary"
@@ -409,7 +417,9 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     sent = numbered.filter("bucket IS NOT NULL").select("bucket", "chunk", "sent")
 
     def merge(group: pa.Table) -> pa.Table:
-        return _merge(group, hot)
+        out = _merge(group, hot)
+        give_back()
+        return out
 
     merged = durable(sent.groupBy("bucket").applyInArrow(merge, "bucket int, state binary, asks binary, stats binary"), "buckets")
     free(spark)
