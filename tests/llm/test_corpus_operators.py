@@ -277,6 +277,30 @@ def test_links_like_all_pairs(spark):
     assert found == classes(rows)
 
 
+def test_pairs_looked_at_grow_with_a_group(spark, monkeypatch):
+    """Near copies of one text, some too far from all others: few pairs are looked at, and no link is lost."""
+    rng, seen, kept = random.Random(5), [], jaccard_join.durable
+    rows = []
+    for i in range(300):
+        w = [f"b{k}" for k in range(150)]
+        for _ in range(rng.randint(0, 8)):
+            w[rng.randrange(150)] = f"z{i}x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+
+    def counted(df, name="stage"):
+        out = kept(df, name)
+        if name == "pairs":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "durable", counted)
+    monkeypatch.setattr(jaccard_join, "PIECE", 64, raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = collections.Counter(tuple(r) for r in jaccard_join.jaccard_join(docs).collect())
+    assert found == classes(rows)
+    assert sum(seen) < 4 * len(rows), seen
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 300) if i != 150], "a long, b long")
     found = {r["v"]: r["c"] for r in jaccard_join.components(edges).collect()}

@@ -26,8 +26,8 @@ WIDTH, PERCENT = 5, 75
 #: A chunk of documents ends after so many shingles or documents.
 CHUNK_SHINGLES, CHUNK_DOCS = 750_000, 60_000
 MEMORY = 100_000
-#: Star rounds go on until so many in a row have each joined fewer than one in FEW of the vertices.
-QUIET, FEW = 3, 500
+#: So many documents of a posting meet a leader in one task.
+PIECE = 4096
 
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 48) - 1)
@@ -201,6 +201,62 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(overlap * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
+def _posted(sets: DataFrame) -> DataFrame:
+    """The postings of the prefixes' shingles: id, rep, n, left, and slice and pieces.
+
+    A posting's slices are the turns in which its vertices lead: 0 is the vertex with the fewest shingles of its own, which is
+    nearest to most others, and each further slice holds four times as many as the one before, dealt by a hash.  Its
+    vertices lie in so many pieces, so that no task compares all of a large posting.
+    """
+    posted = sets.select("rep", "n", (F.col("n") - F.size("ids")).alias("own"), F.explode("first").alias("f")).select("f.id", "rep", "n", "f.left", "own")
+    met = posted.groupBy("id").agg(F.min(F.struct("own", "rep")).alias("nearest"), F.count("*").alias("m")).filter("m > 1")
+    share = F.shiftrightunsigned(F.xxhash64("rep"), 11) / F.lit(float(1 << 53))
+    further = (F.floor(F.log2(1 + share * F.col("m")) / 2) + 1).cast("int")
+    slices = F.when(F.col("rep") == F.col("nearest.rep"), 0).otherwise(further)
+    pieces = F.ceil(F.col("m") / PIECE).cast("int")
+    return posted.join(met, "id").select("id", "rep", "n", "left", slices.alias("slice"), pieces.alias("pieces"))
+
+
+def _joined(sets: DataFrame, percent: int) -> DataFrame | None:
+    """v and c: the smallest vertex that each linked vertex reaches, or None without links.
+
+    In each turn one slice of every posting leads: its vertices meet those of their posting that have not led yet, if the links
+    found so far do not join them.  Every pair of a posting is met once, unless it is joined before; postings whose
+    vertices are all joined are done.  So what is looked at is what ends up apart, and the little that a vertex needs to
+    find its group.
+    """
+    spark, labels, turn, posted = sets.sparkSession, None, 0, _posted(sets)
+    while True:
+        if labels is None:
+            named = posted.withColumn("c", F.col("rep"))
+        else:
+            named = posted.join(labels.select(F.col("v").alias("rep"), "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+        kinds = named.groupBy("id", "c").agg(F.count("*").alias("k"), F.max("slice").alias("last"))
+        mixed = kinds.groupBy("id").agg(F.max(F.struct("k", "c")).alias("most"), F.max("last").alias("last"), F.count("*").alias("kinds"))
+        mixed = mixed.filter((F.col("kinds") > 1) & (F.col("last") >= turn)).select("id", F.col("most.c").alias("most"))
+        named = named.join(mixed, "id").withColumn("main", F.col("c") == F.col("most")).drop("most")
+        named = durable(named.withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces").cast("int")), "posted")
+        if not named.limit(1).count():
+            return labels
+        # Most of a posting is often one group by now: its leaders meet only the others.
+        a = named.filter(F.col("slice") == turn).withColumn("main", F.explode(F.when(F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+        a = a.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        a = a.select("id", "main", "piece", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("c").alias("c_a"))
+        b = named.filter(F.col("slice") >= turn)
+        later = (F.col("slice") > turn) | (F.col("a") < F.col("rep"))
+        sized = F.least("left_a", "left", "n_a", "n") * (100 + percent) >= (F.col("n_a") + F.col("n")) * percent
+        pairs = a.join(b, ["id", "main", "piece"]).filter(later & (F.col("c_a") != F.col("c")) & sized)
+        pairs = durable(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "pairs")
+        links = durable(_linked(pairs, sets, percent), "links")
+        if links.limit(1).count():
+            if labels is not None:
+                links = links.union(labels.filter("v <> c").select("v", "c"))
+            labels = components(links)
+            free(spark)
+        posted = named.drop("c", "main", "piece")
+        turn += 1
+
+
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
@@ -240,47 +296,7 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     of_kind = durable(kinds.select("rep", "n", F.size("ids").alias("shared"), "alike").join(leads, "alike").drop("alike"), "members")
     sets = durable(kinds.join(of_kind.filter("rep = lead").select("rep"), "rep", "left_semi").drop("alike"), "sets")
     free(spark)
-    labels, turn, quiet, joined, vertices = None, 0, 0, 0, sets.count()
-    while True:
-        stars = quiet < QUIET
-        posted = sets.select("rep", "n", F.explode("first").alias("f")).select("rep", "n", "f.id", "f.left")
-        if labels is None:
-            posted = posted.withColumn("c", F.col("rep"))
-        else:
-            l = labels.select(F.col("v").alias("rep"), "c")
-            posted = posted.join(l, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-        a, b = posted.select("id", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("c").alias("c_a")), posted
-        if stars:
-            # Every posting meets two leaders: twice as many pairs as postings, however large a group is.
-            one = F.struct(F.xxhash64("a", F.lit(turn)), "a", "n_a", "left_a", "c_a")
-            two = F.array_distinct(F.array(F.min(one), F.max(one))).alias("two")
-            a = a.groupBy("id").agg(two, F.min("c_a").alias("x"), F.max("c_a").alias("y")).filter("x <> y")
-            a = a.select("id", F.explode("two").alias("l")).select("id", "l.a", "l.n_a", "l.left_a", "l.c_a")
-            apart = F.col("c_a") != F.col("c")
-        else:
-            # What is left: all pairs of a posting that the links found so far do not join already.
-            mixed = posted.groupBy("id").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("id")
-            b = posted.join(mixed, "id", "left_semi")
-            apart = F.col("c_a") < F.col("c")
-        most = F.least("left_a", "left", "n_a", "n")
-        sized = most * (100 + percent) >= (F.col("n_a") + F.col("n")) * percent
-        pairs = a.join(b, "id").filter(apart & sized).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        pairs = durable(pairs, "pairs")
-        turn += 1
-        if not pairs.limit(1).count():
-            if not stars:
-                break
-            quiet += 1
-            continue
-        links = _linked(pairs, sets, percent)
-        if labels is not None:
-            links = links.union(labels.filter("v <> c").select("v", "c"))
-        labels = components(links)
-        free(spark)
-        if not stars:
-            break
-        before, joined = joined, labels.filter("v <> c").count()
-        quiet = quiet + 1 if (joined - before) * FEW < vertices else 0
+    labels = _joined(sets, percent)
     if labels is None:
         labels = spark.createDataFrame([], "v long, c long")
     # A vertex's documents are joined if they link with each other or with any other vertex; else each is by itself.
