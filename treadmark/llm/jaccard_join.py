@@ -186,9 +186,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = labels.join(near, F.col("v") == F.col("a")).select("v", "c", F.least("c", "m").alias("l"))
         up = labels.select(F.col("v").alias("x"), F.col("c").alias("y"))
         new = durable(low.join(up, F.col("l") == F.col("x")).select("v", F.least("l", "y").alias("n"), F.col("c").alias("o")), "labels")
-        changed = new.filter("n <> o").limit(1).count()
+        done = new.filter("n <> o").isEmpty()
         labels = new.select("v", F.col("n").alias("c"))
-        if not changed:
+        if done:
             return labels
 
 
@@ -236,7 +236,7 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame | None:
         mixed = mixed.filter((F.col("kinds") > 1) & (F.col("last") >= turn)).select("id", F.col("most.c").alias("most"))
         named = named.join(mixed, "id").withColumn("main", F.col("c") == F.col("most")).drop("most")
         named = durable(named.withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces").cast("int")), "posted")
-        if not named.limit(1).count():
+        if named.isEmpty():
             return labels
         # Most of a posting is often one group by now: its leaders meet only the others.
         a = named.filter(F.col("slice") == turn).withColumn("main", F.explode(F.when(F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
@@ -248,7 +248,7 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame | None:
         pairs = a.join(b, ["id", "main", "piece"]).filter(later & (F.col("c_a") != F.col("c")) & sized)
         pairs = durable(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "pairs")
         links = durable(_linked(pairs, sets, percent), "links")
-        if links.limit(1).count():
+        if not links.isEmpty():
             if labels is not None:
                 links = links.union(labels.filter("v <> c").select("v", "c"))
             labels = components(links)

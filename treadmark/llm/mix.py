@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from treadmark.llm.common import WORD, only, table, text_of
+from treadmark.llm.common import WORD, free, only, table, text_of
 from treadmark.session import durable
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix-1"
 BINS = 1024
+#: When no more documents than these are left, they are walked one by one.
+FEW = 1024
 
 
 def _uniform(key: Column, seed: str) -> Column:
@@ -100,26 +102,48 @@ def _cut(rows: DataFrame) -> DataFrame:
     return durable(rest.unionByName(last).drop("edge1", "edge2", "before2"), "drawn")
 
 
+def _stepped(rows: DataFrame) -> DataFrame:
+    """``rows``, FEW at most, with ``drawn``: in the order of their places, those that fit into what their source still misses."""
+    def step(done: Column, row: Column) -> Column:
+        fits = F.coalesce(row["place"].isNotNull() & (done["filled"] + row["size"] <= row["need"]), F.lit(False))
+        filled = done["filled"] + F.when(fits, row["size"]).otherwise(F.lit(0).cast("long"))
+        return F.struct(filled.alias("filled"), F.concat(done["drawn"], F.array(fits)).alias("drawn"))
+
+    order = ["place", "doc_id", "size"]
+    one = F.struct(*order, *(c for c in rows.columns if c not in (*order, "base")))
+    listed = rows.groupBy("source").agg(F.sort_array(F.collect_list(one)).alias("rows"))
+    none = F.struct(F.lit(0).cast("long").alias("filled"), F.array().cast("array<boolean>").alias("drawn"))
+    drawn = F.aggregate("rows", none, step, lambda done: done["drawn"])
+    each = listed.select(F.explode(F.arrays_zip("rows", drawn.alias("drawn"))).alias("x"))
+    return durable(each.select("x.rows.*", "x.drawn"), "drawn")
+
+
 def _walk(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows`` with ``drawn``, and the words that each source (``s``) still misses (``gap``).
 
     The order is walked to its end: a document larger than what is missing is stepped over.  What is missing never
-    grows, so such a document cannot fit later: each round cuts the order of the documents that still fit, until none does.
+    grows, so such a document cannot fit later: each round cuts the order of the documents that still fit, until none does
+    or so few are left that one step walks them all.
     """
-    parts, gap = [], None
+    parts, gap, n = [], None, rows.limit(FEW + 1).count()
     while True:
-        cut = _cut(rows)
+        cut = _cut(rows) if n > FEW else _stepped(rows)
         size_drawn = F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))
         left = durable(cut.groupBy("source").agg((F.first("need") - size_drawn).alias("gap")), "gap").withColumnRenamed("source", "s")
         # a source without documents that fit is in no later round and keeps its gap
         gap = left if gap is None else durable(
             gap.join(left.withColumnsRenamed({"s": "t", "gap": "now"}), F.col("s").eqNullSafe(F.col("t")), "left").select("s", F.coalesce("now", "gap").alias("gap")), "gap"
         )
+        free(rows.sparkSession)
+        if n <= FEW:
+            parts.append(cut)
+            break
         found = cut.join(left, F.col("source").eqNullSafe(F.col("s"))).drop("s")
         fits = F.col("place").isNotNull() & ~F.col("drawn") & (F.col("size") <= F.col("gap"))
         parts.append(found.filter(~fits).drop("gap"))
         rows = found.filter(fits).withColumn("need", F.col("gap")).withColumn("base", F.lit(0)).drop("gap", "drawn")
-        if not rows.limit(1).count():
+        n = rows.limit(FEW + 1).count()
+        if not n:
             break
     picked = parts[0]
     for part in parts[1:]:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from treadmark.llm.common import fold, only, ship, table
+from treadmark.llm.common import fold, free, give_back, only, ship, table
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
 #: Bytes of half a chunk.
@@ -212,7 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Net:
     chosen = [group[k]["of"] for q in (0, 1) for group in [[r for r in ranked if r["quality"] == q]] for k in within([r["size"] for r in group], TRAIN_BYTES)]
     rows = picked.filter(F.col("of").isin(chosen)).groupBy("of").agg(F.min("text").alias("text"), F.max("quality").alias("quality")).collect()
     rows = sorted(rows, key=lambda r: r["of"])  # bounded by TRAIN_ROWS and TRAIN_BYTES
-    return fit([chunks_of(bytes(r["text"])) for r in rows], np.array([r["quality"] for r in rows], float))
+    net = fit([chunks_of(bytes(r["text"])) for r in rows], np.array([r["quality"] for r in rows], float))
+    del rows, ranked
+    free(docs.sparkSession)
+    give_back()
+    return net
 
 
 def quality_scores(docs: DataFrame, net: Net, text: str = "text") -> DataFrame:
